@@ -22,7 +22,7 @@ def cohort_key(ledger: DataFrame) -> DataFrame:
     adaptive join instead of being sorted in one window task.
     """
     first = ledger.groupBy("account_id").agg(F.min("billing_period").alias("first_period"))
-    paid = F.try_to_date(F.col("first_paid_date").cast("string"), F.lit("yyyy-MM-dd"))
+    paid = F.try_to_date(F.col("first_paid_date").cast("string"), "yyyy-MM-dd")
     return (
         ledger.drop("cohort_month")
         .join(first, "account_id", "left")

@@ -109,7 +109,7 @@ def account_dimension(events: DataFrame, metadata: DataFrame | None) -> DataFram
     minima keep a hot account to one row per map task, where a window would not.
     """
     first = events.groupBy("account_id").agg(F.min("event_ts").alias("first_ts"))
-    paid = F.try_to_date(F.col("first_paid_date").cast("string"), F.lit("yyyy-MM-dd"))
+    paid = F.try_to_date(F.col("first_paid_date").cast("string"), "yyyy-MM-dd")
     return (
         with_account_metadata(first, metadata)
         .withColumn("cohort_month", F.coalesce(period_of(paid), period_of("first_ts")))

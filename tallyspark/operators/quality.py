@@ -25,7 +25,7 @@ def _sources(df: DataFrame, field: StructField, aliases: Aliases) -> list[str]:
 
 def _read_as(df: DataFrame, name: str, field: StructField) -> Column:
     if isinstance(field.dataType, DateType) and isinstance(df.schema[name].dataType, StringType):
-        return F.try_to_date(F.col(name), F.lit("yyyy-MM-dd"))
+        return F.try_to_date(F.col(name), "yyyy-MM-dd")
     return F.col(name).try_cast(field.dataType)
 
 

@@ -7,6 +7,7 @@ below run on that calendar-sized table only.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.exprs import cents, positive_ratio, total
 
@@ -25,7 +26,10 @@ COMPONENTS = (
 MONTHS_PER_YEAR = 12
 TOLERANCE = 0.01
 
-PERIODS = Window.orderBy("billing_period")
+
+def _periods() -> WindowSpec:
+    """All periods in order, for tables that already have one row per period."""
+    return Window.orderBy("billing_period")
 
 
 def opening_arr(ledger: DataFrame, basis: str = "active") -> DataFrame:
@@ -42,7 +46,7 @@ def opening_arr(ledger: DataFrame, basis: str = "active") -> DataFrame:
             "billing_period",
             (closing - F.coalesce(F.lag(closing).over(history), F.lit(0))).alias("cents"),
         )
-        level = F.sum("cents").over(PERIODS.rowsBetween(Window.unboundedPreceding, 0))
+        level = F.sum("cents").over(_periods().rowsBetween(Window.unboundedPreceding, 0))
     elif basis == "events":
         changes = ledger.select("billing_period", closing.alias("cents"))
         level = F.col("cents")
@@ -52,7 +56,7 @@ def opening_arr(ledger: DataFrame, basis: str = "active") -> DataFrame:
     return (
         periods.select("billing_period", (level / 100.0).alias("total_closing_mrr"))
         .withColumn("total_closing_arr", F.col("total_closing_mrr") * MONTHS_PER_YEAR)
-        .withColumn("opening_arr", F.lag("total_closing_arr").over(PERIODS))
+        .withColumn("opening_arr", F.lag("total_closing_arr").over(_periods()))
     )
 
 
@@ -104,7 +108,7 @@ def closing_arr(waterfall: DataFrame) -> DataFrame:
 def growth(waterfall: DataFrame) -> DataFrame:
     before = F.col("prior_period_closing_arr")
     return waterfall.withColumn(
-        "prior_period_closing_arr", F.lag("total_closing_arr").over(PERIODS)
+        "prior_period_closing_arr", F.lag("total_closing_arr").over(_periods())
     ).withColumn(
         "arr_growth_rate", positive_ratio(F.col("total_closing_arr") - before, before, 4)
     )

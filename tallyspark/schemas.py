@@ -2,36 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    TimestampType,
+)
+
+_TYPES = {
+    "string": StringType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+    "double": DoubleType(),
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "boolean": BooleanType(),
+}
+
+
+def schema(columns: str) -> StructType:
+    """``"name type, name type"`` as a schema, without needing a running session."""
+    pairs = (c.split() for c in columns.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
 
 # Column names and types of the input tables.
-CUSTOMERS = StructType.fromDDL(
+CUSTOMERS = schema(
     "customer_id string, first_name string, last_name string, email string,"
     " signup_date date, country string, segment string"
 )
-ORDERS = StructType.fromDDL(
+ORDERS = schema(
     "order_id string, customer_id string, order_date date, status string, total_amount double"
 )
-SEGMENT_REVENUE = StructType.fromDDL(
+SEGMENT_REVENUE = schema(
     "date date, segment string, revenue_amount double, transaction_count int, avg_basket_size double"
 )
-DAILY_REVENUE = StructType.fromDDL(
+DAILY_REVENUE = schema(
     "date date, segment_id string, revenue_daily double, customer_count bigint, avg_order_value double"
 )
-BILLING_EVENTS = StructType.fromDDL(
+BILLING_EVENTS = schema(
     "event_id string, subscription_id string, account_id string, event_type string,"
     " event_ts timestamp, mrr_before_cents bigint, mrr_after_cents bigint, plan_id string,"
     " billing_interval string, country_code string, created_at timestamp, is_trial boolean"
 )
-ACCOUNT_METADATA = StructType.fromDDL(
+ACCOUNT_METADATA = schema(
     "account_id string, account_tier string, csm_owner string, industry_vertical string,"
     " geo_region string, first_paid_date string"
 )
-CONTRACT_SCHEDULE = StructType.fromDDL(
+CONTRACT_SCHEDULE = schema(
     "subscription_id string, contract_start date, contract_end date, contract_arr_cents bigint,"
     " billing_interval string, auto_renew string"
 )
-INGEST_ROWS = StructType.fromDDL("id string, event_ts string, value double")
+INGEST_ROWS = schema("id string, event_ts string, value double")
 
 # Column renamed by a past migration: canonical name -> accepted older names.
 REVENUE_ALIASES = {"revenue_daily": ("daily_revenue",)}
