@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tallyspark.functions.exprs import total, units
 
@@ -26,8 +27,15 @@ RFM_LABEL = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table; its schema is looked up in the file once, not on every use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _lookup(mapping: dict[str, str], key: str) -> Column:
@@ -132,7 +140,7 @@ def _billing(orders: DataFrame) -> DataFrame:
         .when(key % 11 == 0, "reactivation")
         .otherwise(_lookup(EVENT_OF_PRIORITY, "o_orderpriority"))
     )
-    at = F.col("o_orderdate") + F.make_dt_interval(secs=(key % 86400).cast("decimal(18,6)"))
+    at = F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate"))
     return orders.select(
         key.alias("event_id"),
         (customer * 10 + key % 2).alias("subscription_id"),
@@ -156,28 +164,23 @@ def _billing(orders: DataFrame) -> DataFrame:
 
 
 def billing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events chained per subscription: each before is the after of the event before.
+    """Events whose MRR before is the subscription's MRR at the end of its day before.
 
-    The chain is built inside a day and then from day to day, so that no task ever sorts
-    the whole history of one subscription.
+    The chain runs over days, at most one row per calendar day and subscription, so that
+    no task sorts the whole history of one subscription.
     """
     events = _billing(table(spark, sf_dir, "orders")).withColumn("day", F.to_date("event_ts"))
-    order = F.struct("event_ts", "event_id")
     day_keys = ["subscription_id", "day"]
-    in_day = Window.partitionBy(*day_keys).orderBy("event_ts", "event_id")
     over_days = Window.partitionBy("subscription_id").orderBy("day")
     days = (
         events.groupBy(*day_keys)
-        .agg(F.max_by("mrr_after_cents", order).alias("day_end"))
+        .agg(F.max_by("mrr_after_cents", F.struct("event_ts", "event_id")).alias("day_end"))
         .select(*day_keys, F.lag("day_end").over(over_days).alias("day_start"))
     )
     return (
-        events.withColumn("earlier", F.lag("mrr_after_cents").over(in_day))
-        .join(days, day_keys)
-        .withColumn(
-            "mrr_before_cents", F.coalesce("earlier", "day_start", F.lit(0).cast("bigint"))
-        )
-        .drop("day", "earlier", "day_start")
+        events.join(days, day_keys, "left")
+        .withColumn("mrr_before_cents", F.coalesce("day_start", F.lit(0).cast("bigint")))
+        .drop("day", "day_start")
     )
 
 

@@ -293,10 +293,17 @@ CTES = {
       SELECT * EXCLUDE (list_cents), event_ts AS created_at,
         CASE WHEN event_type = 'cancellation' THEN 0 ELSE list_cents END AS mrr_after_cents
       FROM billing_typed""",
+    "day_ends": """
+      SELECT subscription_id, CAST(event_ts AS DATE) AS day, mrr_after_cents AS day_end
+      FROM billing_priced QUALIFY row_number() OVER (PARTITION BY subscription_id,
+        CAST(event_ts AS DATE) ORDER BY event_ts DESC, event_id DESC) = 1""",
+    "day_starts": """
+      SELECT subscription_id, day, lag(day_end) OVER (PARTITION BY subscription_id ORDER BY day)
+        AS day_start FROM day_ends""",
     "billing": """
-      SELECT *, coalesce(lag(mrr_after_cents) OVER (PARTITION BY subscription_id
-        ORDER BY event_ts, event_id), 0) AS mrr_before_cents
-      FROM billing_priced""",
+      SELECT p.*, coalesce(day_start, 0) AS mrr_before_cents
+      FROM billing_priced p JOIN day_starts d
+        ON p.subscription_id = d.subscription_id AND CAST(p.event_ts AS DATE) = d.day""",
     "valid": """
       SELECT * FROM billing WHERE event_type IN ('new_subscription', 'upgrade', 'downgrade',
         'reactivation', 'cancellation', 'pause', 'plan_change')

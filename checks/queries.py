@@ -317,7 +317,7 @@ def _valid(spark, sf_dir):
 
 
 def _deltas(spark, sf_dir):
-    return ledger.mrr_delta(ledger.one_per_day(_valid(spark, sf_dir)))
+    return ledger.one_per_day(ledger.mrr_delta(_valid(spark, sf_dir)))
 
 
 def _ledger(spark, sf_dir):

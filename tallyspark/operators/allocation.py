@@ -11,7 +11,7 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.exprs import month_number, period_of, shift_period
+from ..functions.exprs import dollars, month_number, period_of, shift_period
 
 # Months covered by each billing interval.
 INTERVAL_MONTHS = {"monthly": 1, "quarterly": 3, "annual": 12, "biennial": 24}
@@ -33,8 +33,7 @@ def monthly_allocation(terms: DataFrame) -> DataFrame:
         F.col("closing_mrr_dollars") * 100.0 / F.col("contract_duration_months"), 0
     ).cast("bigint")
     return terms.withColumn("allocated_mrr_cents_per_month", per_month).withColumn(
-        "allocated_mrr_dollars_per_month",
-        F.round(F.col("allocated_mrr_cents_per_month") / 100.0, 2),
+        "allocated_mrr_dollars_per_month", dollars("allocated_mrr_cents_per_month")
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import (
-    dollars, month_number, one_value, period_of, positive_ratio, shift_period, total,
+    cents, dollars, month_number, one_value, period_of, positive_ratio, shift_period, total,
 )
 
 # Fixed values.
@@ -104,7 +104,7 @@ def arr_movement(snapshots: DataFrame) -> DataFrame:
     opening, closing = F.col("beginning_arr_dollars"), F.col("closing_arr_dollars")
     return snapshots.withColumns(
         {
-            "arr_delta_dollars": F.round(closing - opening, 2),
+            "arr_delta_dollars": dollars(cents(closing - opening)),
             "arr_movement_label": F.when(opening == 0, "new_arr")
             .when(closing == 0, "churned_arr")
             .when(closing > opening, "expansion_arr")

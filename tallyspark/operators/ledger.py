@@ -28,14 +28,16 @@ def one_per_day(events: DataFrame, keep: str = "first") -> DataFrame:
     """First (or last) mutation of each subscription and day; ties go by event id.
 
     Spark limits each group to one row before the shuffle, so a hot subscription
-    contributes one row per day and map task.
+    contributes one row per day and map task. Where ``billing_period`` is known it leads
+    the sort, which then also serves the grouping by period that follows.
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first' or 'last', got {keep!r}")
     order = [F.col("created_at"), F.col("event_id")]
     if keep == "last":
         order = [c.desc() for c in order]
-    days = Window.partitionBy("subscription_id", "event_date").orderBy(*order)
+    keys = [c for c in ("subscription_id", "billing_period") if c in events.columns]
+    days = Window.partitionBy(*keys, "event_date").orderBy(*order)
     return (
         events.withColumn("event_date", F.to_date("event_ts"))
         .withColumn("nth", F.row_number().over(days))
@@ -122,6 +124,6 @@ def mrr_ledger(
 ) -> DataFrame:
     """The full chain from raw events to the ledger table."""
     valid = valid_events(events)
-    moved = movement_type(period_net(mrr_delta(one_per_day(valid, keep))))
+    moved = movement_type(period_net(one_per_day(mrr_delta(valid), keep)))
     accounts = account_dimension(valid, metadata)
     return moved.join(accounts, "account_id", "left").select(*LEDGER_COLUMNS)
