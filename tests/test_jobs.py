@@ -1,0 +1,144 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from tallyspark.operators import quality
+from tallyspark.plans import jobs
+from tallyspark.schemas import ACCOUNT_METADATA, BILLING_EVENTS, CONTRACT_SCHEDULE, WATERFALL_COLUMNS
+from tallyspark.sources import readers
+
+from .conftest import by
+
+START = date(2024, 1, 1)
+
+
+def write(path, lines):
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+@pytest.fixture
+def shop(tmp_path):
+    orders, people = ["order_id,customer_id,order_date,status,total_amount"], [
+        "customer_id,first_name,last_name,email,signup_date,country,segment"
+    ]
+    for i in range(20):
+        people.append(f"c{i:02d},N{i},L,n{i}@x.org,2021-01-01,IE,New")
+        for j in range(i % 6):
+            day = START + timedelta(days=7 * j + i)
+            orders.append(f"o{i}-{j},c{i:02d},{day},{'COMPLETED' if j % 2 else 'SHIPPED'},{10 + i * j}.5")
+    return write(tmp_path / "orders.csv", orders), write(tmp_path / "people.csv", people)
+
+
+def test_segmentation_then_anomalies(spark, tmp_path, shop):
+    segments, alerts_path = str(tmp_path / "segments"), str(tmp_path / "alerts")
+    summary = jobs.rfm_job(spark, *shop, segments, processed_at=datetime(2024, 5, 1))
+    stored = readers.read_table(spark, segments)
+    assert stored.count() == 20 and len(stored.columns) == 24
+    assert sum(r.customer_count for r in summary.collect()) == 20
+    assert by(stored, "customer_id")["c00"]["recency_days"] == 999  # no orders
+    jobs.rfm_job(spark, *shop, segments)
+    assert readers.read_table(spark, segments).count() == 20  # a rerun replaces
+
+    lines = ["date,segment,revenue_amount,transaction_count,avg_basket_size"]
+    for name in ("New", "Loyal"):
+        for i in range(45):
+            lines.append(f"{START + timedelta(i)},{name},{900 if i == 40 else 100 + i % 5},3,9.5")
+    lines += ["bad,New,1,1,1", f"{START},Gone,-5,1,1"]
+    summary = jobs.anomaly_job(
+        spark, write(tmp_path / "revenue.csv", lines), segments, alerts_path, generated_at=datetime(2024, 5, 1)
+    )
+    stored = by(readers.read_table(spark, alerts_path), "segment", "date")
+    day = START + timedelta(40)
+    assert stored["New", day]["severity_band"] == "CRITICAL"
+    assert stored["New", day]["segment_customer_count"] is not None
+    assert summary.count() >= 1
+
+
+def test_gate_stops_the_write(spark, tmp_path, shop, monkeypatch):
+    monkeypatch.setattr(jobs, "NULL_SEGMENT_LIMIT", -1)
+    out = tmp_path / "segments"
+    with pytest.raises(quality.GateFailed, match="null_segment_share"):
+        jobs.rfm_job(spark, *shop, str(out))
+    assert not out.exists()
+
+
+def test_segment_report(spark, frame, tmp_path):
+    rows = [(START + timedelta(i), s, 100.0 + i % 3 + (500 if i == 20 else 0), 2, 5.0)
+            for i in range(30) for s in ("a", "b")]
+    source = str(tmp_path / "daily")
+    frame("date date, segment_id string, daily_revenue double, customer_count bigint, avg_order_value double",
+          *rows).write.parquet(source)
+    totals, report, as_json = (str(tmp_path / n) for n in ("totals", "report", "json"))
+    written = jobs.segment_job(spark, source, totals, report, "2024-02-01", as_json)
+    assert written.count() == 60
+    spike = by(written, "segment_id", "date")["a", START + timedelta(20)]
+    assert spike["anomaly_severity"] == "P1_CRITICAL" and spike["report_date"] == date(2024, 2, 1)
+    assert by(readers.read_table(spark, totals), "segment_id")["a"]["spike_count"] == 1
+    assert spark.read.json(as_json).count() == 60
+
+
+def billing(chained=True):
+    """12 accounts over 15 months, one event a month; each before is the previous after."""
+    rows, n = [], 0
+    for a in range(12):
+        level = 0
+        for m in range(15):
+            kind, after = "plan_change", 1000 + 100 * ((a * 7 + m * 3) % 11)
+            if m == 0:
+                kind = "new_subscription"
+            elif after == level:
+                after += 50
+            if a == 3 and m == 9:
+                kind, after = "cancellation", 0
+            if a == 3 and m == 10:
+                kind = "reactivation"
+            before = level if chained else 0
+            ts = datetime(2023 + m // 12, m % 12 + 1, 5 + a)
+            rows.append((f"e{n}", f"s{a}", f"a{a}", kind, ts, before, after, "p",
+                         ("monthly", "quarterly", "annual")[a % 3], "US", ts, False))
+            level, n = after, n + 1
+    return rows
+
+
+@pytest.mark.parametrize("with_references", [True, False])
+def test_subscription_chain(spark, frame, tmp_path, with_references):
+    p = {n: str(tmp_path / n) for n in "events meta schedule ledger matrix allocated metrics waterfall".split()}
+    frame(BILLING_EVENTS, *billing()).write.parquet(p["events"])
+    if with_references:
+        frame(ACCOUNT_METADATA, *[(f"a{a}", "gold", "kim", "retail", "EU", "2023-01-05") for a in range(12)]
+              ).write.parquet(p["meta"])
+        frame(CONTRACT_SCHEDULE, *[(f"s{a}", date(2023, 1, 1), date(2023, 12, 31), 12000, "annual", "Y")
+                                   for a in range(12)]).write.parquet(p["schedule"])
+    jobs.ledger_job(spark, p["events"], p["ledger"], p["meta"])
+    jobs.cohort_job(spark, p["ledger"], p["matrix"])
+    jobs.allocation_job(spark, p["ledger"], p["allocated"], "2024-01-15", p["schedule"])
+    odd = jobs.retention_job(spark, p["matrix"], p["allocated"], p["metrics"])
+    jobs.waterfall_job(spark, p["ledger"], p["metrics"], p["waterfall"])
+
+    assert readers.read_table(spark, p["ledger"]).count() == 180
+    matrix = by(readers.read_table(spark, p["matrix"]), "billing_period")
+    assert matrix["2023-01"]["account_count"] == 12 and matrix["2023-10"]["churned_account_count"] == 1
+    statuses = {r[0] for r in readers.read_table(spark, p["allocated"]).select("recognition_status").distinct().collect()}
+    assert ("beyond_contract" in statuses) == with_references
+    assert odd.count() == 0
+    built = readers.read_table(spark, p["waterfall"])
+    assert built.columns == WATERFALL_COLUMNS and built.count() == 15
+    rows = by(built, "billing_period")
+    assert rows["2023-01"]["opening_arr"] is None
+    assert all(abs(r["waterfall_closing_arr"] + r["neutral_arr"] - r["total_closing_arr"]) < 1e-6
+               for p_, r in rows.items() if p_ != "2023-01")
+    assert rows["2023-10"]["churn_arr"] < 0 and rows["2023-11"]["reactivation_arr"] > 0
+    assert rows["2023-06"]["blended_nrr"] is not None
+
+
+def test_broken_chain_is_not_published(spark, frame, tmp_path):
+    p = {n: str(tmp_path / n) for n in "events ledger matrix allocated metrics waterfall".split()}
+    frame(BILLING_EVENTS, *billing(chained=False)).write.parquet(p["events"])
+    jobs.ledger_job(spark, p["events"], p["ledger"])
+    jobs.cohort_job(spark, p["ledger"], p["matrix"])
+    jobs.allocation_job(spark, p["ledger"], p["allocated"], "2024-01-15")
+    jobs.retention_job(spark, p["matrix"], p["allocated"], p["metrics"])
+    with pytest.raises(ValueError, match="does not reconcile"):
+        jobs.waterfall_job(spark, p["ledger"], p["metrics"], p["waterfall"])
+    assert not (tmp_path / "waterfall").exists()
