@@ -59,14 +59,12 @@ def arr_snapshots(
     )
     snapshots = months.select("*", running.alias("cumulative_net_new_mrr_cents"))
     if densify:
-        if through is None:
-            through = one_value(indexed.agg(F.max("billing_period").alias("p")), "p")
-        elif isinstance(through, str):
-            through = F.lit(through)
         here = month_number("billing_period")
-        following = F.coalesce(
-            F.lead(here).over(history), F.greatest(month_number(through), here) + 1
-        )
+        if through is None:
+            last = one_value(indexed.agg(F.max(here).alias("m")), "m")
+        else:
+            last = month_number(through if isinstance(through, Column) else F.lit(through))
+        following = F.coalesce(F.lead(here).over(history), F.greatest(last, here) + 1)
         quiet = F.explode(F.sequence(F.lit(0), F.col("held_months") - 1))
         moved = F.col("step") == 0
         snapshots = (

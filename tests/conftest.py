@@ -31,19 +31,25 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def frame(spark):
     """``frame(schema, *rows)``: a DataFrame from literal rows."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import MapType, StructType
 
     def build(schema, *rows):
-        return spark.createDataFrame(list(rows), schema)
+        if not isinstance(schema, StructType):
+            schema = StructType.fromDDL(schema)
+        if not rows or any(isinstance(f.dataType, MapType) for f in schema):
+            return spark.createDataFrame(list(rows), schema)
+        arrow = to_arrow_schema(schema)
+        columns = [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), arrow)]
+        return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
 
     return build
 
 
 def by(df, *keys):
     """Rows as ``key -> dict``; the key is a tuple when there are several columns."""
-    out = {}
-    for r in df.collect():
-        d = r.asDict(recursive=True)
-        key = tuple(d[k] for k in keys)
-        out[key[0] if len(keys) == 1 else key] = d
-    assert len(out) == df.count(), "keys are not unique"
+    rows = [r.asDict(recursive=True) for r in df.collect()]
+    out = {row[keys[0]] if len(keys) == 1 else tuple(row[k] for k in keys): row for row in rows}
+    assert len(out) == len(rows), "keys are not unique"
     return out

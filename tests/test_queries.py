@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin on the smallest test tables."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -50,4 +51,4 @@ def test_no_table_moves_to_one_task(spark, capsys, name):
     lines = capsys.readouterr().out.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
-            assert "Aggregate(keys=[], functions=[partial_" in lines[i + 1]
+            assert re.search(r"Aggregate\(keys?=\[\], functions=\[partial_", lines[i + 1])
