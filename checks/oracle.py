@@ -639,7 +639,7 @@ FINALS = {
           WHEN count(*) > 5 THEN 'HIGH_VOLUME_ANOMALY' ELSE 'NONE' END AS alert_type FROM alerted""",
     "alert_payload": f"""
       SELECT segment_id, count(*) FILTER (anomaly_severity <> 'NORMAL') AS anomaly_count,
-        CAST(to_json({{'pipeline': 'multi_file_data_pipeline', 'report_date': '{AS_OF}',
+        CAST(to_json({{'pipeline': 'segment_revenue', 'report_date': '{AS_OF}',
           'segment_id': segment_id,
           'metrics': {{'revenue_daily': CAST({r(avg('revenue_daily'), 2)} AS DECIMAL(18,2)),
             'total_revenue': CAST({r(tot('revenue_daily'), 2)} AS DECIMAL(18,2)),

@@ -320,6 +320,11 @@ def _deltas(spark, sf_dir):
     return ledger.one_per_day(ledger.mrr_delta(_valid(spark, sf_dir)))
 
 
+def _net(spark, sf_dir):
+    """The ledger without its account columns, for queries that need none."""
+    return ledger.net_movements(_valid(spark, sf_dir))
+
+
 def _ledger(spark, sf_dir):
     return ledger.mrr_ledger(
         inputs.billing_events(spark, sf_dir), inputs.account_metadata(spark, sf_dir)
@@ -357,7 +362,7 @@ def period_net_mrr(spark, sf_dir):
 
 @query
 def movement_type(spark, sf_dir):
-    return ledger.movement_type(ledger.period_net(_deltas(spark, sf_dir))).select(
+    return _net(spark, sf_dir).select(
         "subscription_id", "billing_period", "event_type", "net_new_mrr_cents", "movement_type"
     )
 
@@ -429,12 +434,12 @@ TERMS = ["subscription_id", "billing_period", "billing_interval", "closing_mrr_d
 
 
 def _allocated(spark, sf_dir):
-    return allocation.monthly_allocation(allocation.contract_months(_ledger(spark, sf_dir)))
+    return allocation.monthly_allocation(allocation.contract_months(_net(spark, sf_dir)))
 
 
 @query
 def contract_duration(spark, sf_dir):
-    return allocation.contract_months(_ledger(spark, sf_dir)).select(
+    return allocation.contract_months(_net(spark, sf_dir)).select(
         *TERMS, "contract_duration_months"
     )
 
@@ -469,7 +474,7 @@ def deferred_balance(spark, sf_dir):
 @query
 def recognition_status(spark, sf_dir):
     rows = allocation.contract_terms(
-        _ledger(spark, sf_dir), inputs.contract_schedule(spark, sf_dir)
+        _net(spark, sf_dir), inputs.contract_schedule(spark, sf_dir)
     )
     expanded = allocation.expand_months(allocation.contract_months(rows))
     return allocation.recognition_status(expanded, inputs.AS_OF).select(
@@ -490,7 +495,7 @@ def allocation_recon(spark, sf_dir):
 @query
 def contract_join(spark, sf_dir):
     return allocation.contract_terms(
-        _ledger(spark, sf_dir), inputs.contract_schedule(spark, sf_dir)
+        _net(spark, sf_dir), inputs.contract_schedule(spark, sf_dir)
     ).select("subscription_id", "billing_period", "contract_arr_cents", "auto_renew", "contract_end")
 
 
@@ -567,12 +572,12 @@ def _waterfall(spark, sf_dir):
 
 @query
 def opening_arr(spark, sf_dir):
-    return waterfall.opening_arr(_ledger(spark, sf_dir))
+    return waterfall.opening_arr(_net(spark, sf_dir))
 
 
 @query
 def waterfall_components(spark, sf_dir):
-    return waterfall.components(_ledger(spark, sf_dir))
+    return waterfall.components(_net(spark, sf_dir))
 
 
 @query
@@ -590,7 +595,7 @@ def arr_waterfall(spark, sf_dir):
 
 
 def _bare_waterfall(spark, sf_dir):
-    rows = park(_ledger(spark, sf_dir))
+    rows = park(_net(spark, sf_dir))
     joined = waterfall.opening_arr(rows).join(waterfall.components(rows), "billing_period", "full")
     return waterfall.closing_arr(joined)
 
@@ -602,7 +607,7 @@ def waterfall_recon(spark, sf_dir):
 
 @query
 def arr_growth(spark, sf_dir):
-    return waterfall.growth(waterfall.opening_arr(_ledger(spark, sf_dir))).select(
+    return waterfall.growth(waterfall.opening_arr(_net(spark, sf_dir))).select(
         "billing_period", "total_closing_arr", "prior_period_closing_arr", "arr_growth_rate"
     )
 

@@ -10,13 +10,14 @@ from ..functions.exprs import mean, total
 from .segment import DAY, REVENUE, SEGMENT, is_flagged
 
 # Fixed values.
-PIPELINE = "multi_file_data_pipeline"
 SCHEMA_VERSION = "v2"
 HIGH_VOLUME = 5
 MONEY = "decimal(18,2)"
 
 
-def alert_payloads(scored: DataFrame, report_date: date | str | Column) -> DataFrame:
+def alert_payloads(
+    scored: DataFrame, report_date: date | str | Column, pipeline: str = "segment_revenue"
+) -> DataFrame:
     """One JSON payload per segment: its metrics and its flagged days.
 
     ``scored`` is a daily series, so the list holds at most one entry per calendar day
@@ -47,7 +48,7 @@ def alert_payloads(scored: DataFrame, report_date: date | str | Column) -> DataF
         by_day.alias("anomalies"),
     )
     payload = F.struct(
-        F.lit(PIPELINE).alias("pipeline"),
+        F.lit(pipeline).alias("pipeline"),
         F.date_format(stamp.cast("date"), "yyyy-MM-dd").alias("report_date"),
         F.col(SEGMENT),
         F.struct(

@@ -27,6 +27,15 @@ def plausible_revenue(revenue: DataFrame) -> DataFrame:
     return revenue.filter(F.col("date").isNotNull() & (F.col(REVENUE) >= 0))
 
 
+def daily_series(revenue: DataFrame) -> DataFrame:
+    """Collapse rows to one per (segment, day); a unique row stays as it is."""
+    return revenue.groupBy("segment", "date").agg(
+        total(REVENUE).alias(REVENUE),
+        F.sum("transaction_count").cast("int").alias("transaction_count"),
+        F.avg("avg_basket_size").alias("avg_basket_size"),
+    )
+
+
 def segment_metrics(rfm: DataFrame) -> DataFrame:
     """Customer metrics per RFM segment, to be joined to that segment's alerts."""
     return rfm.groupBy(F.col("rfm_segment").alias("segment")).agg(

@@ -119,11 +119,18 @@ def account_dimension(events: DataFrame, metadata: DataFrame | None) -> DataFram
     )
 
 
+def net_movements(valid: DataFrame, keep: str = "first") -> DataFrame:
+    """Valid events to one classified row per subscription and period, without accounts."""
+    return movement_type(period_net(one_per_day(mrr_delta(valid), keep)))
+
+
 def mrr_ledger(
     events: DataFrame, metadata: DataFrame | None = None, keep: str = "first"
 ) -> DataFrame:
-    """The full chain from raw events to the ledger table."""
+    """The full chain from raw events to the ledger table.
+
+    A skewed account is split by the adaptive join: the account side has one row each.
+    """
     valid = valid_events(events)
-    moved = movement_type(period_net(one_per_day(mrr_delta(valid), keep)))
     accounts = account_dimension(valid, metadata)
-    return moved.join(accounts, "account_id", "left").select(*LEDGER_COLUMNS)
+    return net_movements(valid, keep).join(accounts, "account_id", "left").select(*LEDGER_COLUMNS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -250,6 +251,11 @@ def observed(df: DataFrame, name: str, metrics: Sequence[Column]) -> tuple[DataF
     return df.observe(observation, *metrics), observation
 
 
+def stamped(counts: DataFrame, moment: datetime | None = None, column: str = "ts") -> DataFrame:
+    """Counts with the time they were taken, by default now."""
+    return counts.withColumn(column, F.lit(moment) if moment else F.current_timestamp())
+
+
 def metric_rows(one_row: DataFrame, run_id: str, job: str) -> DataFrame:
     """A one-row aggregate as (run_id, job, metric, value) rows for a run metrics table."""
     pairs = [

@@ -6,7 +6,7 @@ avg_order_value``, one row per segment and day.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -179,9 +179,9 @@ def anomaly_rate(scored: DataFrame) -> DataFrame:
     )
 
 
-def summary_stats(scored: DataFrame) -> DataFrame:
-    """One row over the whole report period."""
-    return scored.agg(
+def summary_stats(scored: DataFrame, generated_at: datetime | None = None) -> DataFrame:
+    """One row over the whole report period, stamped when ``generated_at`` is given."""
+    stats = scored.agg(
         total(REVENUE).alias("total_revenue"),
         mean(REVENUE).alias("avg_daily_revenue"),
         F.max(REVENUE).alias("peak_daily_revenue"),
@@ -189,6 +189,7 @@ def summary_stats(scored: DataFrame) -> DataFrame:
         F.countDistinct(SEGMENT).alias("active_segments"),
         F.count_if(is_flagged()).alias("total_anomalies"),
     )
+    return stats if generated_at is None else stats.withColumn("generated_at", F.lit(generated_at))
 
 
 def performance_report(

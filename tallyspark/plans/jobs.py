@@ -69,7 +69,8 @@ def anomaly_job(
     run_id: str | None = None,
 ) -> DataFrame:
     """Daily revenue and the segments table to the alerts table; returns the alert summary."""
-    revenue = anomaly.plausible_revenue(readers.segment_revenue(spark, revenue_path))
+    plausible = anomaly.plausible_revenue(readers.segment_revenue(spark, revenue_path))
+    revenue = anomaly.daily_series(plausible)
     metrics = anomaly.segment_metrics(readers.read_table(spark, segments_path))
     scored = anomaly.score(anomaly.rolling_windows(revenue, lookback), z_threshold, band_sigmas)
     watched, seen = quality.observed(

@@ -25,6 +25,14 @@ def test_plausible_rows_only(frame):
     assert sorted(r.revenue_amount for r in anomaly.plausible_revenue(df).collect()) == [0.0, 1.0]
 
 
+def test_daily_series_collapses_only_duplicates(frame):
+    df = frame(SERIES, *series([1.25, 7]), (START, "s", 2.5, 3, 7.0), (START, "t", None, None, None))
+    got = by(anomaly.daily_series(df), "segment", "date")
+    assert tuple(got["s", START].values())[2:] == (3.75, 5, 6.0)
+    assert tuple(got["s", START + timedelta(1)].values())[2:] == (7.0, 2, 5.0)
+    assert got["t", START]["revenue_amount"] is None
+
+
 def test_windows_match_python(frame):
     data = [100 + (i * 37) % 41 for i in range(40)]
     rows = by(anomaly.rolling_windows(frame(SERIES, *series(data))), "row_num")

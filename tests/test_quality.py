@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +74,13 @@ def test_key_metrics_and_metric_rows(frame):
     assert got["null_key_rows"]["value"] == 1.0
 
 
+def test_counts_can_be_stamped(frame):
+    df = frame("id string", ("1",))
+    moment = datetime(2024, 1, 1, 12)
+    assert quality.stamped(quality.key_metrics(df), moment).first().ts == moment
+    assert quality.stamped(quality.key_metrics(df)).first().ts is not None
+
+
 @pytest.mark.parametrize("algorithm", ["xxhash64", "md5"])
 def test_canary_sees_changes_but_not_order(spark, algorithm):
     df = spark.range(1000).select("id", F.hash("id").cast("string").alias("v"))

@@ -1,4 +1,4 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from statistics import mean, stdev
 
 import pytest
@@ -180,6 +180,7 @@ def test_rate_and_summary(frame):
     assert got["s"]["avg_revenue"] == 5.0 and got["t"]["stddev_revenue"] is None
     row = segment.summary_stats(df).first()
     assert tuple(row) == (16.0, 4.0, 9.0, 1.0, 2, 1)
+    assert segment.summary_stats(df, datetime(2024, 3, 1)).first().generated_at == datetime(2024, 3, 1)
 
 
 def test_report(frame):

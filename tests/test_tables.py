@@ -107,6 +107,15 @@ def test_period_filter_prunes_directories(spark, frame, tmp_path, ledger_table,
     assert "PartitionFilters: [billing_period" in plan or "PartitionFilters: [isnotnull(billing_period" in plan
 
 
+def test_writes_are_rebalanced_by_partition(spark, tmp_path, ledger_table, monkeypatch, capsys):
+    df = spark.range(100).selectExpr("'2024-01' AS billing_period", "id AS v")
+    df.hint("rebalance", *writers.TABLES[ledger_table].partition_by).explain()
+    assert "REBALANCE_PARTITIONS_BY_COL" in capsys.readouterr().out
+    path = str(tmp_path / "t")
+    writers.write_table(df, ledger_table, path)
+    assert spark.read.parquet(path).count() == 100
+
+
 def test_json_report(spark, frame, tmp_path):
     path = str(tmp_path / "j")
     writers.write_json(frame("a int, d date", (1, date(2024, 1, 1))), path)
