@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import (
-    cents, dollars, month_number, one_value, period_of, positive_ratio, shift_period, total,
+    cents, dollars, month_number, one_value, period_of, period_text, positive_ratio, total,
 )
 
 # Fixed values.
@@ -37,6 +37,33 @@ def cohort_index(ledger: DataFrame) -> DataFrame:
     return ledger.withColumn("cohort_index", age).filter("cohort_index >= 0")
 
 
+def _account_months(
+    indexed: DataFrame, dims: Sequence[str], through: str | Column | None
+) -> DataFrame:
+    """One row per account and period with a movement, and the month of the next one.
+
+    Rows collapse to account x period first, so an account's window holds at most its months.
+    """
+    keys = ["account_id", "cohort_month", *dims]
+    here = month_number("billing_period")
+    if through is None:
+        last = one_value(indexed.agg(F.max(here).alias("m")), "m")
+    else:
+        last = month_number(through if isinstance(through, Column) else F.lit(through))
+    history = Window.partitionBy(*keys).orderBy("billing_period")
+    so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        indexed.groupBy(*keys, "billing_period", "cohort_index")
+        .agg(F.sum("net_new_mrr_cents").alias("net_new_mrr_cents"))
+        .select(
+            "*",
+            F.sum("net_new_mrr_cents").over(so_far).alias("cumulative_net_new_mrr_cents"),
+            here.alias("month"),
+            F.coalesce(F.lead(here).over(history), F.greatest(last, here) + 1).alias("next_month"),
+        )
+    )
+
+
 def arr_snapshots(
     indexed: DataFrame,
     dims: Sequence[str] = DIMENSIONS,
@@ -45,47 +72,31 @@ def arr_snapshots(
 ) -> DataFrame:
     """Opening and closing ARR per account and period.
 
-    Rows collapse to account x period first, so an account's window holds at most its
-    months. ``densify`` repeats the closing value for the months until the next movement,
-    up to ``through`` (default: the last period in the input), and drops empty months.
+    ``densify`` repeats the closing value for the months until the next movement, up to
+    ``through`` (default: the last period in the input), and drops empty months.
     """
-    keys = ["account_id", "cohort_month", *dims]
-    months = indexed.groupBy(*keys, "billing_period", "cohort_index").agg(
-        F.sum("net_new_mrr_cents").alias("net_new_mrr_cents")
-    )
-    history = Window.partitionBy(*keys).orderBy("billing_period")
-    running = F.sum("net_new_mrr_cents").over(
-        history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    snapshots = months.select("*", running.alias("cumulative_net_new_mrr_cents"))
+    snapshots = _account_months(indexed, dims, through)
     if densify:
-        here = month_number("billing_period")
-        if through is None:
-            last = one_value(indexed.agg(F.max(here).alias("m")), "m")
-        else:
-            last = month_number(through if isinstance(through, Column) else F.lit(through))
-        following = F.coalesce(F.lead(here).over(history), F.greatest(last, here) + 1)
-        quiet = F.explode(F.sequence(F.lit(0), F.col("held_months") - 1))
-        moved = F.col("step") == 0
+        step, moved = F.col("step"), F.col("step") == 0
+        months = F.sequence(F.lit(0), F.col("next_month") - F.col("month") - 1)
         snapshots = (
-            snapshots.withColumn("held_months", following - here)
-            .select("*", quiet.alias("step"))
+            snapshots.select("*", F.explode(months).alias("step"))
             .withColumns(
                 {
                     "billing_period": F.when(moved, F.col("billing_period")).otherwise(
-                        shift_period("billing_period", "step")
+                        period_text(F.col("month") + step)
                     ),
-                    "cohort_index": F.col("cohort_index") + F.col("step"),
+                    "cohort_index": F.col("cohort_index") + step,
                     "net_new_mrr_cents": F.when(moved, F.col("net_new_mrr_cents")).otherwise(
                         F.lit(0).cast("bigint")
                     ),
                 }
             )
-            .drop("held_months", "step")
+            .drop("step")
         )
     closing = F.col("cumulative_net_new_mrr_cents") * MONTHS_PER_YEAR
     opening = closing - F.col("net_new_mrr_cents") * MONTHS_PER_YEAR
-    snapshots = snapshots.withColumns(
+    snapshots = snapshots.drop("month", "next_month").withColumns(
         {
             "closing_arr_cents": closing,
             "closing_arr_dollars": dollars(closing),
@@ -149,6 +160,108 @@ def cohort_nrr(matrix: DataFrame) -> DataFrame:
     )
 
 
+# Sums of a matrix cell while it is built, in cents, and their names in the matrix.
+CELL_SUMS = {
+    "new": "new_arr_dollars",
+    "expansion": "expansion_arr_dollars",
+    "contraction": "contraction_arr_dollars",
+    "churn": "churn_arr_dollars",
+    "retained": "retained_arr_dollars",
+    "closing": "total_closing_arr_dollars",
+    "beginning": "total_beginning_arr_dollars",
+}
+
+
+def dense_matrix(
+    indexed: DataFrame,
+    dims: Sequence[str] = DIMENSIONS,
+    through: str | Column | None = None,
+) -> DataFrame:
+    """The matrix of the densified snapshots, without a row per account and quiet month.
+
+    An account that stays at the same ARR from one movement to the next enters its cell once
+    (+) in the first quiet month and leaves it once (-) in the month of the next movement.
+    These marks are summed per cell like the movements; running sums over the months of the
+    small result give the accounts and ARR that are quiet in each month. All sums are whole
+    cents, so entering and leaving cancel exactly.
+    """
+    zero = F.lit(0).cast("bigint")
+    net, total_net = F.col("net_new_mrr_cents"), F.col("cumulative_net_new_mrr_cents")
+    closing, delta = total_net * MONTHS_PER_YEAR, net * MONTHS_PER_YEAR
+    opening = closing - delta
+    month, following = F.col("month"), F.col("next_month")
+    label = (
+        F.when(opening == 0, "new")
+        .when(closing == 0, "churn")
+        .when(delta > 0, "expansion")
+        .when(delta < 0, "contraction")
+        .otherwise("retained")
+    )
+
+    def row(at: Column, **values: Column) -> Column:
+        fields = ["accounts", "churned", *CELL_SUMS, "quiet_accounts", "quiet_cents"]
+        return F.struct(at.alias("month"), *[values.get(f, zero).cast("bigint").alias(f) for f in fields])
+
+    def only(kind: str) -> Column:
+        return F.when(F.col("label") == kind, closing if kind == "retained" else delta).otherwise(0)
+
+    present = ((opening != 0) | (closing != 0)).cast("int")
+    movement = row(
+        month,
+        accounts=present,
+        churned=(F.col("label") == "churn").cast("int"),
+        **{k: only(k) for k in ("new", "expansion", "contraction", "churn", "retained")},
+        closing=closing,
+        beginning=opening,
+    )
+    enters = row(month + 1, quiet_accounts=F.lit(1), quiet_cents=closing)
+    leaves = row(following, quiet_accounts=F.lit(-1), quiet_cents=-closing)
+    quiet = (closing != 0) & (following > month + 1)
+
+    cell = ["cohort_month", *dims]
+    sums = ["accounts", "churned", *CELL_SUMS, "quiet_accounts", "quiet_cents"]
+    events = (
+        _account_months(indexed, dims, through)
+        .withColumn("label", label)
+        .select(
+            *cell,
+            F.inline(F.when(quiet, F.array(movement, enters, leaves)).otherwise(F.array(movement))),
+        )
+        .groupBy(*cell, "month")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+    )
+    ages = Window.partitionBy(*cell).orderBy("month")
+    so_far = ages.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.coalesce(F.lead("month").over(ages), F.col("month") + 1)
+    months = (
+        events.withColumns(
+            {
+                "quiet_accounts": F.sum("quiet_accounts").over(so_far),
+                "quiet_cents": F.sum("quiet_cents").over(so_far),
+                "until": until,
+            }
+        )
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("until") - F.col("month") - 1)).alias("step"))
+        .withColumn("month", F.col("month") + F.col("step"))
+    )
+
+    def in_month(c: str) -> Column:
+        moved = F.when(F.col("step") == 0, F.col(c)).otherwise(zero)
+        if c == "accounts":
+            return moved + F.col("quiet_accounts")
+        return moved + F.col("quiet_cents") if c in ("retained", "closing", "beginning") else moved
+
+    return months.filter(in_month("accounts") > 0).select(
+        "cohort_month",
+        (F.col("month") - month_number("cohort_month")).alias("cohort_index"),
+        period_text(F.col("month")).alias("billing_period"),
+        *dims,
+        in_month("accounts").alias("account_count"),
+        in_month("churned").alias("churned_account_count"),
+        *[dollars(in_month(c)).alias(name) for c, name in CELL_SUMS.items()],
+    )
+
+
 def build_matrix(
     ledger: DataFrame,
     dims: Sequence[str] = DIMENSIONS,
@@ -156,5 +269,8 @@ def build_matrix(
     through: str | Column | None = None,
 ) -> DataFrame:
     """Ledger (with ``cohort_month``) to the cohort matrix with its retention rate."""
-    snapshots = arr_snapshots(cohort_index(ledger), dims, densify, through)
+    indexed = cohort_index(ledger)
+    if densify:
+        return cohort_nrr(dense_matrix(indexed, dims, through))
+    snapshots = arr_snapshots(indexed, dims, densify=False)
     return cohort_nrr(cohort_matrix(arr_movement(snapshots), dims))

@@ -52,7 +52,7 @@ def opening_rows(
         stacked.repartitionByRange("metric", "v", "k").withColumn("slice", F.spark_partition_id())
     )
     sizes = defaultdict(list)
-    for r in sliced.groupBy("metric", "slice").count().orderBy("metric", "slice").collect():
+    for r in sorted(sliced.groupBy("metric", "slice").count().collect()):
         sizes[r["metric"]].append((r["slice"], r["count"]))
 
     wanted = []  # (metric, slice, 1-based row inside the slice)

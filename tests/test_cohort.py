@@ -132,3 +132,22 @@ def test_closing_equals_sum_of_deltas(spark, densify):
         F.max_by("closing_arr_cents", "billing_period").alias("c")
     )
     assert last.agg(F.sum("c")).first()[0] == total
+
+
+@pytest.mark.parametrize("through", [None, "2024-12", "2024-03"])
+def test_dense_matrix_equals_the_matrix_of_dense_snapshots(spark, through):
+    """Random histories with zero levels, negative levels, churn, returns and zero changes."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(900).select(
+        F.concat(F.lit("a"), F.col("id") % 61).alias("account_id"),
+        F.concat(F.lit("2024-0"), F.pmod(F.hash("id"), F.lit(9)) + 1).alias("billing_period"),
+        ((F.pmod(F.hash("id", F.lit(1)), F.lit(5)) - 2) * 1033).cast("bigint").alias("net_new_mrr_cents"),
+        F.concat(F.lit("2024-0"), F.col("id") % 61 % 3 + 1).alias("cohort_month"),
+        F.element_at(F.array(F.lit("EU"), F.lit("US"), F.lit(None)), (F.col("id") % 61 % 3 + 1).cast("int")).alias("geo_region"),
+    )
+    indexed = cohort.cohort_index(df)
+    slow = cohort.cohort_matrix(cohort.arr_movement(cohort.arr_snapshots(indexed, DIMS, through=through)), DIMS)
+    fast = cohort.dense_matrix(indexed, DIMS, through=through)
+    assert fast.columns == slow.columns and slow.count() > 15
+    assert fast.exceptAll(slow).collect() == [] and slow.exceptAll(fast).collect() == []
