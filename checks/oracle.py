@@ -37,6 +37,11 @@ def avg(x: str, over: str = "") -> str:
     return f"({tot(x, over)} / nullif(count({u(x)}) {over}, 0))"
 
 
+def rate_avg(x: str) -> str:
+    """Average of a rate with six decimals, exact before the division."""
+    return f"(CAST(sum(CAST(round_even({x} * 1000000, 0) AS HUGEINT)) AS DOUBLE) / 1000000::DOUBLE / nullif(count({x}), 0))"
+
+
 def ratio(num: str, den: str, n: int) -> str:
     return f"CASE WHEN {den} > 0 THEN {r(f'({num}) / ({den})', n)} END"
 
@@ -480,7 +485,8 @@ CTES = {
         avg_nrr_rolling_12m, total_beginning_arr
       FROM (SELECT billing_period, {tot('nrr_point_in_time * total_beginning_arr_dollars')} AS w,
           {tot('total_beginning_arr_dollars')} AS total_beginning_arr,
-          avg(grr_point_in_time) AS avg_grr, avg(nrr_rolling_12m) AS avg_nrr_rolling_12m
+          {rate_avg('grr_point_in_time')} AS avg_grr,
+          {rate_avg('nrr_rolling_12m')} AS avg_nrr_rolling_12m
         FROM reported GROUP BY billing_period)""",
     "built": """
       SELECT *, opening_arr + new_business_arr + expansion_arr + reactivation_arr + contraction_arr

@@ -20,9 +20,9 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def units(amount: str | Column) -> Column:
-    """Amount in ten-thousandths as BIGINT; NULL for NULL, NaN and infinity."""
-    return F.rint(col(amount) * F.lit(UNITS)).try_cast("bigint")
+def units(amount: str | Column, scale: int = UNITS) -> Column:
+    """Amount in whole ``1/scale`` as BIGINT; NULL for NULL, NaN and infinity."""
+    return F.rint(col(amount) * F.lit(scale)).try_cast("bigint")
 
 
 def total(amount: str | Column, over: WindowSpec | None = None) -> Column:
@@ -33,13 +33,15 @@ def total(amount: str | Column, over: WindowSpec | None = None) -> Column:
     return s / F.lit(float(UNITS))
 
 
-def mean(amount: str | Column, over: WindowSpec | None = None) -> Column:
-    """Order-independent average of a money column, as double; NULL without rows."""
-    u = units(amount)
+def mean(
+    amount: str | Column, over: WindowSpec | None = None, scale: int = UNITS
+) -> Column:
+    """Order-independent average of a column with a fixed number of decimals, as double."""
+    u = units(amount, scale)
     s, n = F.sum(u), F.count(u)
     if over is not None:
         s, n = s.over(over), n.over(over)
-    return F.try_divide(s / F.lit(float(UNITS)), n)
+    return F.try_divide(s / F.lit(float(scale)), n)
 
 
 def dollars(cents: str | Column) -> Column:
@@ -75,17 +77,19 @@ def band(value: Column, steps: Sequence[tuple[float, str]], default: str) -> Col
 # computed as integers; formatting and parsing dates per row costs several times as much.
 
 
+def _text(year: Column, month: Column) -> Column:
+    endings = F.elt(month, *[F.lit(f"-{m:02d}") for m in range(1, 13)])
+    return F.concat(year.cast("string"), endings)
+
+
 def period_text(months: Column) -> Column:
-    """Period of a month number."""
-    year, month = F.floor(months / 12), months % 12 + 1
-    return F.concat(
-        F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0")
-    )
+    """Period of a month number (four-digit years)."""
+    return _text(F.floor(months / 12), months % 12 + 1)
 
 
 def period_of(moment: str | Column) -> Column:
     day = F.to_date(col(moment))
-    return period_text(F.year(day) * 12 + F.month(day) - 1)
+    return _text(F.year(day), F.month(day))
 
 
 def month_number(period: str | Column) -> Column:
@@ -94,10 +98,6 @@ def month_number(period: str | Column) -> Column:
     return F.substring(p, 1, 4).cast("int") * 12 + F.substring(p, 6, 2).cast("int") - 1
 
 
-def shift_period(period: str | Column, months: str | Column) -> Column:
-    return period_text(month_number(period) + col(months))
-
-
 def one_value(one_row, column: str) -> Column:
     """The single value of a one-row aggregate as a scalar subquery.
 

@@ -11,7 +11,7 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.exprs import dollars, month_number, period_of, shift_period
+from ..functions.exprs import dollars, month_number, period_of, period_text
 
 # Months covered by each billing interval.
 INTERVAL_MONTHS = {"monthly": 1, "quarterly": 3, "annual": 12, "biennial": 24}
@@ -38,12 +38,13 @@ def monthly_allocation(terms: DataFrame) -> DataFrame:
 
 
 def expand_months(allocated: DataFrame) -> DataFrame:
-    """One row per allocated month."""
+    """One row per allocated month, with the months elapsed since the billing period."""
     offsets = F.sequence(F.lit(0), F.col("contract_duration_months") - 1)
     return (
-        allocated.select("*", F.explode(offsets).alias("month_offset"))
-        .withColumn("allocated_period", shift_period("billing_period", "month_offset"))
-        .drop("month_offset")
+        allocated.withColumn("first_month", month_number("billing_period"))
+        .select("*", F.explode(offsets).alias("months_elapsed"))
+        .withColumn("allocated_period", period_text(F.col("first_month") + F.col("months_elapsed")))
+        .drop("first_month")
     )
 
 
@@ -56,14 +57,12 @@ def deferred_balance(expanded: DataFrame, contract_value_basis: str = "recurring
     if contract_value_basis not in BASES:
         raise ValueError(f"contract_value_basis must be one of {BASES}")
     monthly = F.col("allocated_mrr_dollars_per_month")
-    elapsed = month_number("allocated_period") - month_number("billing_period")
     value = F.col("closing_mrr_dollars")
     if contract_value_basis == "recurring":
         value = value * F.col("contract_duration_months")
     left = value - F.col("recognised_revenue_dollars")
     return (
-        expanded.withColumn("months_elapsed", elapsed)
-        .withColumns(
+        expanded.withColumns(
             {
                 "recognised_revenue_dollars": monthly * (F.col("months_elapsed") + 1),
                 "recognised_in_period_dollars": monthly,
@@ -81,7 +80,9 @@ def recognition_status(expanded: DataFrame, as_of: date | str | Column) -> DataF
     today = period_of(as_of if isinstance(as_of, Column) else F.lit(as_of))
     month = F.col("allocated_period")
     ended = F.lit(False)
-    if "contract_end" in expanded.columns:
+    if "contract_end_period" in expanded.columns:
+        ended = month > F.col("contract_end_period")
+    elif "contract_end" in expanded.columns:
         ended = month > period_of("contract_end")
     return expanded.withColumn(
         "recognition_status",
@@ -120,7 +121,9 @@ def contract_terms(ledger: DataFrame, schedule: DataFrame) -> DataFrame:
     latest = (
         schedule.groupBy("subscription_id")
         .agg(F.max_by(terms, F.struct("contract_start", "contract_end", "contract_arr_cents")).alias("t"))
-        .select("subscription_id", "t.*")
+        .select(
+            "subscription_id", "t.*", period_of("t.contract_end").alias("contract_end_period")
+        )
     )
     return ledger.join(latest, "subscription_id", "left")
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..functions.exprs import UNITS, one_value, units
@@ -256,6 +256,14 @@ def stamped(counts: DataFrame, moment: datetime | None = None, column: str = "ts
     return counts.withColumn(column, F.lit(moment) if moment else F.current_timestamp())
 
 
+def record_metrics(
+    spark: SparkSession, metrics: Mapping[str, float], run_id: str, job: str
+) -> DataFrame:
+    """Observed metrics of a job as rows for a run metrics table."""
+    rows = [(run_id, job, name, None if v is None else float(v)) for name, v in metrics.items()]
+    return spark.createDataFrame(rows, "run_id string, job string, metric string, value double")
+
+
 def metric_rows(one_row: DataFrame, run_id: str, job: str) -> DataFrame:
     """A one-row aggregate as (run_id, job, metric, value) rows for a run metrics table."""
     pairs = [

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
-from ..functions.exprs import cents, positive_ratio, total
+from ..functions.exprs import cents, mean, positive_ratio, total
 
 # Movement type -> column stem, in pivot order.
 MOVEMENTS = {
@@ -25,6 +25,7 @@ COMPONENTS = (
 )
 MONTHS_PER_YEAR = 12
 TOLERANCE = 0.01
+RATE_SCALE = 1_000_000  # retention rates have six decimals
 
 
 def _periods() -> WindowSpec:
@@ -84,8 +85,8 @@ def blended_nrr(metrics: DataFrame) -> DataFrame:
         .agg(
             total(F.col("nrr_point_in_time") * weight).alias("weighted"),
             total(weight).alias("total_beginning_arr"),
-            F.avg("grr_point_in_time").alias("avg_grr"),
-            F.avg("nrr_rolling_12m").alias("avg_nrr_rolling_12m"),
+            mean("grr_point_in_time", scale=RATE_SCALE).alias("avg_grr"),
+            mean("nrr_rolling_12m", scale=RATE_SCALE).alias("avg_nrr_rolling_12m"),
         )
         .select(
             "billing_period",

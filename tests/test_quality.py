@@ -171,3 +171,5 @@ def test_observed_metrics_come_with_the_action(spark):
     df, seen = quality.observed(spark.range(10), "t", [F.count("*").alias("n"), F.max("id").alias("m")])
     assert df.count() == 10
     assert seen.get == {"n": 10, "m": 9}
+    rows = by(quality.record_metrics(spark, seen.get, "r1", "load"), "metric")
+    assert rows["n"] == {"run_id": "r1", "job": "load", "metric": "n", "value": 10.0}
