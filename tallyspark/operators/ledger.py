@@ -20,7 +20,7 @@ def valid_events(events: DataFrame) -> DataFrame:
         F.col("event_type").isin(*EVENT_TYPES)
         & F.col("subscription_id").isNotNull()
         & F.col("event_ts").isNotNull()
-        & ~F.col("is_trial")
+        & ~F.col("is_trial").try_cast("boolean")
     )
 
 

@@ -74,7 +74,8 @@ def optional_table(
 
 
 def account_metadata(spark: SparkSession, path: str | None) -> DataFrame | None:
-    return optional_table(spark, path, schemas.ACCOUNT_METADATA)
+    """Account attributes as stored; ``first_paid_date`` may be text or a date."""
+    return optional_table(spark, path)
 
 
 def contract_schedule(spark: SparkSession, path: str | None) -> DataFrame | None:

@@ -41,6 +41,24 @@ def test_valid_events(events):
     assert [r.event_id for r in ledger.valid_events(df).collect()] == ["1"]
 
 
+def test_trial_flag_as_text(frame):
+    df = frame(
+        "event_id string, event_type string, subscription_id string, event_ts timestamp, is_trial string",
+        *[(f, "upgrade", "s", at("2024-01-01"), f) for f in ("false", "true", "unknown", None)],
+    )
+    assert [r.event_id for r in ledger.valid_events(df).collect()] == ["false"]
+
+
+def test_first_paid_date_as_date(events, frame):
+    meta = frame(
+        "account_id string, account_tier string, csm_owner string, industry_vertical string,"
+        " geo_region string, first_paid_date date",
+        ("A", "gold", "kim", "retail", "EU", at("2023-07-09").date()),
+    )
+    df = events(event(1, "s", "upgrade", "2024-01-05", 0, 5))
+    assert ledger.mrr_ledger(df, meta).first().cohort_month == "2023-07"
+
+
 def test_first_or_last_mutation_of_a_day(events):
     df = events(
         event(3, "s", "upgrade", "2024-01-01 09:00", 0, 1, created="2024-01-01 12:00"),
