@@ -63,21 +63,28 @@ def mrr_delta(events: DataFrame) -> DataFrame:
 
 
 def period_net(deltas: DataFrame) -> DataFrame:
-    """One row per subscription and period: its last event, with the net change of all."""
-    keys = ["subscription_id", "billing_period"]
-    carried = [c for c in deltas.columns if c not in keys]
+    """One row per subscription and period: its last event, with the net change of all.
+
+    After ``one_per_day`` a group holds at most the days of a month. Windows keep the
+    columns prunable, so a query that needs few of them reads and shuffles only those.
+    """
+    latest = Window.partitionBy("subscription_id", "billing_period").orderBy(
+        F.desc("event_ts"), F.desc("event_id")
+    )
+    whole = latest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        deltas.groupBy(*keys)
-        .agg(
-            F.sum("mrr_delta_cents").alias("net_new_mrr_cents"),
-            F.max_by(F.struct(*carried), F.struct("event_ts", "event_id")).alias("last"),
+        deltas.select(
+            "*",
+            F.sum("mrr_delta_cents").over(whole).alias("net_new_mrr_cents"),
+            F.row_number().over(latest).alias("nth"),
         )
-        .select(
-            *keys,
-            "last.*",
-            "net_new_mrr_cents",
-            dollars("net_new_mrr_cents").alias("net_new_mrr_dollars"),
-            dollars("last.mrr_after_safe").alias("closing_mrr_dollars"),
+        .filter("nth = 1")
+        .drop("nth")
+        .withColumns(
+            {
+                "net_new_mrr_dollars": dollars("net_new_mrr_cents"),
+                "closing_mrr_dollars": dollars("mrr_after_safe"),
+            }
         )
     )
 
