@@ -1,0 +1,108 @@
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tallyspark.llm import quality
+
+from . import cases
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    n = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if n[w] > 1 for k in range(8)}
+    failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered), failed
+
+
+def check(rows, found):
+    mine = Counter(
+        (r.doc_id, r.q_n_words, r.q_word_chars, r.q_n_symbols, r.q_n_dup_lines, r.q_n_repeat_words, r.q_base_failed)
+        for r in found
+    )
+    assert mine == Counter((i, *brute(t)) for i, t in rows)
+    assert all(r.q_kept == (r.q_rejected_by is None) for r in found)
+    assert not any(r.q_base_failed and r.q_kept for r in found)
+
+
+PROSE = " ".join(f"word{i} and other{i}, then" for i in range(12))
+CRAFTED = [
+    (20, PROSE),
+    (21, "a b c d e f g h a b c d e f g h"),
+    (22, "x " * 40),
+    (23, "\n".join(["same line here"] * 3 + ["", " ", "other"])),
+    (24, PROSE.replace(" ", "*** ")),
+    (25, PROSE.upper().replace(" ", "!! ")),
+    (26, " ".join("12345 67890".split() * 4 + [f"{i}99" for i in range(40)])),
+    (27, "a b c d e f g h i a b c d e f g h j " + PROSE + " a b c d e f g h"),
+    (28, PROSE + "\n" + PROSE.replace("word", "term")),
+]
+
+
+def test_counts_match_brute_force(spark):
+    rows = cases.ODD + CRAFTED
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = quality.judge(docs).collect()
+    check(rows, found)
+    verdict = {r.doc_id: r.q_rejected_by for r in found}
+    assert verdict[20] is None and verdict[28] is None
+    assert verdict[24] == "symbols" and verdict[25] == "shouting"
+
+
+def test_extra_columns_survive_and_empty_table(spark):
+    docs = cases.odd(spark)
+    kept = quality.clean(docs)
+    assert kept.columns == docs.columns
+    judged = quality.judge(cases.odd(spark, extra=False)).where("q_kept").count()
+    assert kept.count() == judged
+    assert quality.judge(cases.empty(spark)).count() == 0
+
+
+def test_order_is_by_rejection_per_cost_and_does_not_change_verdicts(spark):
+    rules = (
+        quality.Rule("never", lambda t: F.length(t) < 0),
+        quality.Rule("often", lambda t: F.length(t) > 3),
+        quality.Rule("same", lambda t: F.length(t) > 2),
+    )
+    docs = spark.createDataFrame([(i, "x" * (i % 8)) for i in range(400)], "doc_id long, text string")
+    found = quality.order_rules(docs, rules, sample_rows=200, fraction=1.0)
+    scores = [share / cost for _, share, cost in found]
+    assert scores == sorted(scores, reverse=True) and found[-1][0].name == "never"
+    assert {r.name: share for r, share, _ in found}["never"] == 0.0
+    texts = docs.select("text")
+    for order in (rules, rules[::-1]):
+        rejected = texts.where(quality.first_rejection(order).isNotNull()).count()
+        assert rejected == texts.where(F.length("text") > 2).count()
+
+
+def test_a_later_rule_is_not_run_for_rejected_texts(spark):
+    fails = quality.Rule("fails", lambda t: F.raise_error(F.lit("was run")).isNotNull())
+    first = quality.Rule("all", lambda t: F.length(t) >= 0)
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert docs.select(quality.first_rejection((first, fails)).alias("r")).collect()[0].r == "all"
+
+
+def test_plan_is_native(spark, capsys):
+    quality.judge(cases.odd(spark, extra=False)).explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
+
+
+@cases.needs_data
+def test_query(spark):
+    from tallyspark.llm.queries import op2_quality_rules
+
+    found = op2_quality_rules(spark, cases.DATA)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    mine = Counter((r.doc_id, *[r[n] for n in names]) for r in found.collect())
+    assert mine == Counter((i, *brute(t)) for i, t in cases.documents(spark))
