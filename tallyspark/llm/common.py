@@ -83,3 +83,16 @@ def chained(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Hashes of ordered pairs."""
     with np.errstate(over="ignore"):
         return mixed(first * np.uint64(0xD6E8FEB86659FD93) ^ second)
+
+
+def portions(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in portions of at most ``most`` bytes of text, or one longer
+    row, so that what a task builds from the words of a portion stays small."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        start = 0
+        while start < len(sizes):
+            ends = np.cumsum(sizes[start : start + most], dtype=np.int64)
+            n = max(1, int(np.searchsorted(ends, most, side="right")))
+            yield batch.slice(start, n)
+            start += n

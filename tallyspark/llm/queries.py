@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, quality, sharding, tokenbin
+from . import bpe, near, packing, quality, sharding, spans, tokenbin, toxicity
+from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +37,11 @@ def op2_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op3_near_dedup(spark, sf_dir):
+    return near.near_duplicates(documents(spark, sf_dir), size=4, percent=80)
+
+
 @query
 def op4_bpe(spark, sf_dir):
     return bpe.digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
@@ -47,6 +53,22 @@ def op5_token_files(spark, sf_dir):
     return tokenbin.read(blocks, lengths)
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    docs, out = documents(spark, sf_dir), held_out("doc_id", 5, 0)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~out)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op7_substring_dedup(spark, sf_dir):
+    cleaned = spans.dedup(documents(spark, sf_dir), report=True)
+    return cleaned.select("doc_id", "n_sentences", "n_removed", "words_removed", "text")
+
+
 @query
 def op9_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), TOKENIZER, CAPACITY, END)

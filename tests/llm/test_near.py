@@ -1,0 +1,135 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tallyspark.llm import near
+from tallyspark.llm.components import components
+
+from . import cases
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text, size):
+    words = WORD.findall((text or "").translate(LOWER))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def reachable(n, pairs):
+    root = list(range(n))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    return [top(i) for i in range(n)]
+
+
+def brute(rows, size, percent):
+    sets = [shingles(t, size) for _, t in rows]
+    pairs = [
+        (i, j)
+        for i, (one, s) in enumerate(zip(rows, sets))
+        for j in range(i)
+        if one[0] is not None
+        and rows[j][0] is not None
+        and (rows[j][0] == one[0] or s and 100 * len(s & sets[j]) >= percent * len(s | sets[j]))
+    ]
+    tops = reachable(len(rows), pairs)
+    members = defaultdict(list)
+    for i, top in enumerate(tops):
+        members[top].append(i)
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        least = None if doc is None else min(rows[k][0] for k in members[tops[i]])
+        out.append((doc, len(sets[i]), least, doc is None or doc == least))
+    return sorted(out, key=str)
+
+
+def check(spark, rows, size=5, percent=80):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near.near_duplicates(docs, size=size, percent=percent).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows, size, percent)
+
+
+def test_components_of_chains_stars_and_pairs(spark):
+    chain = [(i, i + 1) for i in range(100, 140)]
+    star = [(7, k) for k in range(8, 40)]
+    rows = chain + star + [(3, 2), (2, 3), (900, 800), (139, 901)]
+    found = dict(map(tuple, components(spark.createDataFrame(rows, "a long, b long")).collect()))
+    want = {i: 100 for i in range(100, 141)} | {901: 100, 900: 800, 800: 800, 2: 2, 3: 2} | dict.fromkeys(range(7, 40), 7)
+    assert found == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sketches_fill_every_coordinate_and_estimate_similarity():
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 1 << 63, 1200, dtype=np.uint64)
+    sets = [np.sort(base[:1000]), np.sort(base[200:]), base[:1], np.sort(base[:3]), np.sort(base[:1])]
+    drawn = near.sketches(sets)
+    assert (drawn != np.iinfo(np.uint64).max).all()
+    assert abs((drawn[0] == drawn[1]).mean() - 800 / 1200) < 0.1
+    assert (drawn[2] == drawn[4]).all()
+    alone = near.sketches([sets[3]])  # other sets of a batch do not matter
+    assert (alone[0] == drawn[3]).all()
+
+
+def variants(rng, words, n, changed):
+    out = []
+    for _ in range(n):
+        w = list(words)
+        for k in rng.sample(range(len(w)), changed):
+            w[k] = f"new{rng.randrange(10**9)}"
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("size", [4, 5])
+def test_planted_groups(spark, size):
+    rng = random.Random(size)
+    rows, ids = [], iter(rng.sample(range(10_000), 400))
+    for g in range(8):
+        words = [f"w{rng.randrange(5000)}" for _ in range(150)]
+        texts = [" ".join(words)] * 4 + variants(rng, words, 10, 1 + g) + variants(rng, words, 4, 12)
+        rows += [(next(ids), t) for t in texts]
+    rows += [(next(ids), " ".join(f"u{rng.randrange(9000)}" for _ in range(rng.randrange(1, 60)))) for _ in range(40)]
+    check(spark, rows, size)
+
+
+def test_chain_is_one_component(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[5 * i : 5 * i + 100])) for i in range(40)]
+    check(spark, rows)
+
+
+def test_odd_rows(spark):
+    check(spark, cases.ODD)
+    found = near.near_duplicates(cases.odd(spark)).count()
+    assert found == len(cases.ODD)
+    assert near.near_duplicates(cases.empty(spark)).count() == 0
+    one = near.keep_one(cases.odd(spark))
+    assert one.columns == cases.odd(spark).columns and one.where("doc_id = 9 OR doc_id = 10").count() == 0
+
+
+def test_an_id_with_two_texts_joins_their_groups(spark):
+    words = [[f"{c}{i}" for i in range(60)] for c in "abc"]
+    a, b, c = (" ".join(w) for w in words)
+    check(spark, [(5, a), (5, b), (2, b), (9, a), (7, c), (8, None), (8, c)])
+
+
+@cases.needs_data
+def test_query(spark):
+    from tallyspark.llm.queries import op3_near_dedup
+
+    found = op3_near_dedup(spark, cases.DATA).collect()
+    assert sorted(map(tuple, found), key=str) == brute(cases.documents(spark), 4, 80)
