@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, near, packing, quality, sharding, spans, tokenbin, toxicity
+from . import bpe, fingerprint, lm, near, packing, quality, sharding, spans, tokenbin, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_lm_scores(spark, sf_dir):
+    docs, out = documents(spark, sf_dir), held_out("doc_id", 7, 2)
+    scored = lm.score(docs, ~out)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op2_quality_rules(spark, sf_dir):
     judged = quality.judge(documents(spark, sf_dir))
@@ -69,6 +78,11 @@ def op7_substring_dedup(spark, sf_dir):
     return cleaned.select("doc_id", "n_sentences", "n_removed", "words_removed", "text")
 
 
+@query
+def op8_fingerprints(spark, sf_dir):
+    return fingerprint.neighbours(documents(spark, sf_dir))
+
+
 @query
 def op9_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), TOKENIZER, CAPACITY, END)
