@@ -17,9 +17,14 @@ import numpy as np
 
 #: Unicode white space; Python's own class also holds four control characters.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Letters that end at white space or common punctuation: a match ends there too, and the
+#: word recurs more often than the word with what follows it.
+LETTERS = "[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]"
+PIECES = re.compile(
+    f" ?{LETTERS}+(?=[.,;:!?{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+)
 #: Pieces a task remembers at most, about 150 bytes each, and the longest that is remembered.
-REMEMBERED, LONGEST = 1_200_000, 256
+REMEMBERED, LONGEST = 1_000_000, 256
 
 EncodeMany = Callable[[list[str]], Iterable[bytes]]
 
@@ -33,16 +38,17 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known, cut = self.known, [PIECES.findall(text) for text in texts]
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(set(pieces).difference(known))
-        if len(known) + len(new) > REMEMBERED:
+        if len(known) > REMEMBERED:
             known.clear()
-            new = {piece for pieces in cut for piece in pieces}
+        found = [list(map(known.get, pieces)) for pieces in cut]
+        new = {p for pieces, ids in zip(cut, found, strict=True) if None in ids for p, i in zip(pieces, ids) if i is None}
         if new:
             order = list(new)
             known.update(zip(order, self.encode_many(order), strict=True))
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        out = [
+            b"".join(map(known.__getitem__, pieces) if None in ids else ids)
+            for pieces, ids in zip(cut, found, strict=True)
+        ]
         for piece in [p for p in new if len(p) > LONGEST]:
             del known[piece]
         return out
@@ -66,17 +72,16 @@ def _library_encoder(path: str, together: int = 200) -> PieceEncoder:
     def encode_many(pieces: list[str]) -> list[bytes]:
         # Pieces that begin with a space and a non-space may follow each other in one text.
         out: list[bytes] = [b""] * len(pieces)
-        free = [i for i, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and PIECES.fullmatch(p) and not p[1].isspace()]
+        free = [i for i, p in enumerate(pieces) if p[0] == " " and len(p) > 1 and not p[1].isspace()]
         rest = sorted(set(range(len(pieces))) - set(free))
         groups = [free[i : i + together] for i in range(0, len(free), together)]
         for group, found in zip(groups, ids(["".join(pieces[i] for i in g) for g in groups]), strict=True):
             found = np.array(found, kind)
-            ends = np.searchsorted(
-                np.cumsum(n_bytes[found]), np.cumsum([len(pieces[i].encode()) for i in group])
-            ) + 1
-            start = 0
-            for i, end in zip(group, ends.tolist(), strict=True):
-                out[i] = found[start:end].tobytes()
+            sizes = [len(pieces[i].encode()) for i in group]
+            ends = (np.searchsorted(np.cumsum(n_bytes[found]), np.cumsum(sizes)) + 1) * width
+            data, start = found.tobytes(), 0
+            for i, end in zip(group, ends.tolist()):
+                out[i] = data[start:end]
                 start = end
         for i, found in zip(rest, ids([pieces[i] for i in rest]), strict=True):
             out[i] = np.array(found, kind).tobytes()
