@@ -11,8 +11,8 @@ from .common import chained, hashed, mixed, park, plain, portions, words_of
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
-#: A pair at similarity 0.8 shares no band with probability (1 - 0.8^8)^64 < 1e-5.
-ROWS, BANDS = 8, 64
+#: A pair at similarity 0.8 shares no band with probability (1 - 0.8^7)^48, about 1e-5.
+ROWS, BANDS = 7, 48
 COORDINATES = ROWS * BANDS
 #: Coordinates compared before verification, one byte each, and how many must agree: 0.62 is
 #: more than five standard deviations below 0.8.
@@ -148,15 +148,77 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, siz
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _rare_pairs(
+    members: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
+) -> DataFrame:
+    """Pairs (a, b) of ``members`` (id, label) with different labels that may be similar enough.
+
+    Of two similar sets of a <= b shingles, ranked alike, the smaller shares one of its rarest
+    a - ceil(1.6 a / 1.8) + 1 with the rarest b - ceil(0.8 b) + 1 of the larger (at 80 percent).
+    Ranked by their number of members, shingles that only one text holds come first: variants
+    of one template whose own words are more than a ninth of the text meet nobody, where
+    comparing them would cost the square of their number. Where members of one large component
+    share a shingle, only the others are paired with them.
+    """
+
+    def run(batches):
+        for batch in portions(batches, 1):
+            sets = shingle_sets(plain(batch.column(1)), size)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) >> 1 for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([len(s) + 1 + -len(s) * percent // 100 for s in sets], pa.int64()),
+                    pa.array([len(s) + 1 + -2 * len(s) * percent // (100 + percent) for s in sets], pa.int64()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["id", "set", "n", "large", "small", "shingles"],
+            )
+
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = texts.join(members.select("id"), "id", "left_semi")
+    schema = "id long, set long, n long, large long, small long, shingles array<long>"
+    sets = park(texts.mapInArrow(run, schema).dropDuplicates(["id", "set"]))
+    each = sets.select("id", "set", "n", "large", "small", F.explode("shingles").alias("s"))
+    held = each.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
+    alone = F.col("n") - F.size("known")  # shingles of this text only: the rarest
+    rare = (
+        each.join(held, "s")
+        .groupBy("id", "set", "n", "large", "small")
+        .agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("known"))
+        .select("id", "n", "known", alone.alias("alone"), (F.col("large") - alone).cast("int").alias("large"), "small")
+        .where("large > 0")
+        .select("id", "n", "alone", "small", F.posexplode(F.slice("known", F.lit(1), F.col("large"))).alias("at", "k"))
+        .select("id", "n", F.col("k.s").alias("s"), "small", (F.col("alone") + F.col("at")).alias("rank"))
+        .select("id", "n", "s", (F.col("rank") < F.col("small")).alias("small"), (F.col("n") - F.col("rank")).alias("rest"))
+    )
+    rare = park(rare.join(members, "id"))
+    main = rare.groupBy("s").agg(F.mode("label", True).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    rare = park(rare.join(main.where("lo < hi").select("s", "main"), "s"))
+    x, y = rare.where("small").alias("x"), rare.alias("y")
+    across = (
+        (F.col("x.s") == F.col("y.s"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (F.col("x.n") <= F.col("y.n"))
+        & (100 * F.col("x.n") >= percent * F.col("y.n"))
+        # From their first common shingle on, both must hold enough for the overlap needed.
+        & ((100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.n") + F.col("y.n")))
+    )
+    found = x.where("label <> main").join(y, across).select("x.id", F.col("y.id").alias("b"))
+    found = found.unionByName(x.join(y.where("label <> main"), across).select("x.id", F.col("y.id").alias("b")))
+    return found.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+
 def links(
     nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
 ) -> DataFrame:
     """Verified links (a, b) whose components are those of all pairs that share a band.
 
     First every member of a bucket is compared with the bucket's lowest id, which joins most of
-    a large group of near copies with one comparison each. Then, in buckets that still hold
-    several components, the members of different components are compared. Pairs inside one
-    component are never listed: they cannot change it.
+    a large group of near copies with one comparison each. Then the documents of buckets that
+    still hold several components are compared across components, by their rarest shingles.
+    Pairs inside one component are never listed: they cannot change it.
     """
     banded = nodes.select("id", "n", F.explode("bands").alias("band"))
     centres = (
@@ -165,27 +227,20 @@ def links(
         .where("members > 1")
         .select("band", F.col("centre.id").alias("a"), F.col("centre.n").alias("m"))
     )
+    shared = park(banded.join(centres, "band"))
     stars = (
-        banded.join(centres, "band")
-        .where((F.col("id") != F.col("a")) & _close_sizes("n", "m", percent))
+        shared.where((F.col("id") != F.col("a")) & _close_sizes("n", "m", percent))
         .select("a", F.col("id").alias("b"))
         .distinct()
     )
     stars = park(_likely(stars, nodes))
     first = park(_verified(stars, docs, id_col, text_col, size, percent))
     labels = components(first).withColumnRenamed("node", "id")
-    labelled = nodes.select("id", "n", "bands").join(labels, "id", "left")
-    labelled = labelled.select("id", "n", F.coalesce("component", "id").alias("label"), F.explode("bands").alias("band"))
-    mixed_up = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    open_ = park(labelled.join(mixed_up.select("band"), "band", "left_semi"))
-    x, y = open_.alias("x"), open_.alias("y")
-    across = (F.col("x.band") == F.col("y.band")) & (F.col("x.label") < F.col("y.label"))
-    pairs = (
-        x.join(y, across & _close_sizes("x.n", "y.n", percent))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
+    labelled = shared.select("band", "id").join(labels, "id", "left")
+    labelled = labelled.select("band", "id", F.coalesce("component", "id").alias("label"))
+    several = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    members = park(labelled.join(several, "band", "left_semi").select("id", "label").distinct())
+    pairs = _rare_pairs(members, docs, id_col, text_col, size, percent).join(stars, ["a", "b"], "left_anti")
     pairs = park(_likely(pairs, nodes))
     return first.unionByName(_verified(pairs, docs, id_col, text_col, size, percent))
 
