@@ -194,4 +194,5 @@ def pack(
     sequences, the first piece the shorter; repeated rows are packed one by one; an empty
     table gives no rows; other columns are not read.
     """
-    return assign(pieces(docs, path, capacity, end_id, id_col, text_col), capacity, id_col)
+    # Parked, since the range sort reads its input twice.
+    return assign(park(pieces(docs, path, capacity, end_id, id_col, text_col)), capacity, id_col)
