@@ -85,7 +85,7 @@ def chained(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return mixed(first * np.uint64(0xD6E8FEB86659FD93) ^ second)
 
 
-def portions(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterator[pa.RecordBatch], text: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in portions of at most ``most`` bytes of text, or one longer
     row, so that what a task builds from the words of a portion stays small."""
     for batch in batches:

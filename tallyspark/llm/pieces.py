@@ -24,7 +24,7 @@ PIECES = re.compile(
     f" ?{LETTERS}+(?=[.,;:!?{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 #: Pieces a task remembers at most, about 150 bytes each, and the longest that is remembered.
-REMEMBERED, LONGEST = 1_000_000, 256
+REMEMBERED, LONGEST = 800_000, 256
 
 EncodeMany = Callable[[list[str]], Iterable[bytes]]
 
