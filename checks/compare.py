@@ -46,8 +46,8 @@ def difference(spark, con, name: str, sf_dir: str) -> str | None:
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(set(columns) ^ set(df.columns))}"
     theirs = rows_of(columns, result.fetchall())
-    if not mine:
-        return "no rows"
+    if not mine and not theirs:
+        return "no rows"  # both agree, but nothing was compared
     if mine != theirs:
         a, b = mine - theirs, theirs - mine
         return f"{sum(a.values())} of {sum(mine.values())} rows differ\n    {sorted(df.columns)}\n    " + (

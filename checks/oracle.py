@@ -721,7 +721,7 @@ FINALS = {
     "waterfall_recon": f"""
       SELECT billing_period, {rr(6, 'opening_arr', 'waterfall_closing_arr', 'total_closing_arr',
         'abs_delta', 'pct_delta')} FROM missed WHERE pct_delta > 0.01
-      ORDER BY missed.pct_delta DESC, billing_period LIMIT 10""",
+      ORDER BY missed.pct_delta DESC, billing_period""",
     "arr_growth": "SELECT billing_period, total_closing_arr, prior_period_closing_arr, arr_growth_rate"
     " FROM grown",
     "schema_conform": """
@@ -755,7 +755,7 @@ FINALS = {
       SELECT event_type, count(*) AS row_count,
         {r('CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM events)', 6)} AS share,
         {r('CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM events)', 6)} > 0.2 AS is_skewed
-      FROM events GROUP BY event_type ORDER BY row_count DESC, event_type LIMIT 20""",
+      FROM events GROUP BY event_type """,
     "salted_aggregate": f"""
       SELECT l_returnflag, count(*) AS row_count, count(DISTINCT l_orderkey) AS distinct_count,
         {tot('l_extendedprice')} AS total_amount FROM lineitem GROUP BY l_returnflag""",

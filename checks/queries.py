@@ -602,7 +602,7 @@ def _bare_waterfall(spark, sf_dir):
 
 @query
 def waterfall_recon(spark, sf_dir):
-    return rounded(waterfall.mismatches(_bare_waterfall(spark, sf_dir), limit=10))
+    return rounded(waterfall.mismatches(_bare_waterfall(spark, sf_dir)))
 
 
 @query
@@ -683,7 +683,7 @@ def manifest_check(spark, sf_dir):
 
 @query
 def skew_report(spark, sf_dir):
-    return quality.skew_report(inputs.table(spark, sf_dir, "events"), "event_type", 20, 0.2)
+    return quality.skew_report(inputs.table(spark, sf_dir, "events"), "event_type", threshold=0.2)
 
 
 @query

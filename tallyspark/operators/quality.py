@@ -181,15 +181,14 @@ def check_manifest(expected: DataFrame, actual: DataFrame, keys: Sequence[str] =
 # --- skew --------------------------------------------------------------------
 
 
-def skew_report(df: DataFrame, key: str, limit: int = 20, threshold: float = 0.3) -> DataFrame:
-    """The ``limit`` heaviest keys with their share of all rows."""
+def skew_report(df: DataFrame, key: str, limit: int | None = None, threshold: float = 0.3) -> DataFrame:
+    """All keys, or the ``limit`` heaviest, with their share of all rows."""
     everything = one_value(df.agg(F.count("*").alias("n")), "n")
+    counts = df.groupBy(key).agg(F.count("*").alias("row_count"))
+    if limit is not None:
+        counts = counts.orderBy(F.desc("row_count"), F.col(key).asc_nulls_first()).limit(limit)
     return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("row_count"))
-        .orderBy(F.desc("row_count"), F.col(key).asc_nulls_first())
-        .limit(limit)
-        .withColumn("share", F.round(F.col("row_count") / everything, 6))
+        counts.withColumn("share", F.round(F.col("row_count") / everything, 6))
         .withColumn("is_skewed", F.col("share") > threshold)
     )
 

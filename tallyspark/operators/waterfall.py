@@ -116,13 +116,16 @@ def growth(waterfall: DataFrame) -> DataFrame:
 
 
 def mismatches(
-    waterfall: DataFrame, tolerance: float = TOLERANCE, limit: int | None = None
+    waterfall: DataFrame, tolerance: float = TOLERANCE, limit: int | None = None, with_neutral: bool = False
 ) -> DataFrame:
     """Periods whose movements miss the measured closing ARR by more than ``tolerance``.
 
-    A period that closes at zero fails on any difference. ``limit`` keeps the worst ones.
+    A period that closes at zero fails on any difference. ``with_neutral`` counts
+    ``neutral_arr``, the disclosed residual, as a movement. ``limit`` keeps the worst ones.
     """
     measured, built = F.col("total_closing_arr"), F.col("waterfall_closing_arr")
+    if with_neutral:
+        built = built + F.coalesce("neutral_arr", F.lit(0.0))
     relative = F.when(measured != 0, F.col("abs_delta") / F.abs(measured)).otherwise(
         F.when(F.col("abs_delta") > 0, 1.0).otherwise(0.0)
     )
@@ -139,10 +142,12 @@ def mismatches(
     return bad if limit is None else bad.orderBy(F.desc("pct_delta"), "billing_period").limit(limit)
 
 
-def require_reconciled(waterfall: DataFrame, tolerance: float = TOLERANCE) -> None:
+def require_reconciled(
+    waterfall: DataFrame, tolerance: float = TOLERANCE, with_neutral: bool = False
+) -> None:
     """Raise when any period misses; the message names the count and the worst period."""
     worst = (
-        mismatches(waterfall, tolerance)
+        mismatches(waterfall, tolerance, with_neutral=with_neutral)
         .agg(
             F.count("*").alias("periods"),
             F.max("pct_delta").alias("pct"),

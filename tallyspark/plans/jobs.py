@@ -107,6 +107,7 @@ def segment_job(
     report = segment.performance_report(scored, report_date)
     write_table(report, "performance_report", report_path)
     written = readers.read_table(spark, report_path)
+    written = written.where(F.col("report_date") == F.lit(report_date).cast("date")).select(*report.columns)
     if json_path is not None:
         write_json(written, json_path)
     return written
@@ -186,12 +187,14 @@ def waterfall_job(
     output_path: str,
     basis: str = "active",
     tolerance: float = waterfall.TOLERANCE,
+    with_neutral: bool = True,
 ) -> None:
-    """Writes the waterfall only when it reconciles."""
+    """Writes the waterfall only when it reconciles; neutral movements (pauses, changes without
+    growth) count as disclosed unless ``with_neutral`` is off."""
     built = park(
         waterfall.arr_waterfall(
             readers.read_table(spark, ledger_path), readers.read_table(spark, metrics_path), basis
         )
     )
-    waterfall.require_reconciled(built, tolerance)
+    waterfall.require_reconciled(built, tolerance, with_neutral)
     write_table(built, "arr_waterfall", output_path)

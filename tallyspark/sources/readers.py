@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,8 +16,22 @@ from ..operators.quality import Aliases, conform
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, aliases: Aliases | None = None
 ) -> DataFrame:
-    """CSV with a header; malformed dates and numbers become NULL."""
-    return conform(spark.read.option("header", True).csv(path), schema, aliases)
+    """CSV with a header; malformed dates and numbers become NULL.
+
+    Files whose headers differ are read apart and joined by column name, one small read for
+    each file's header.
+    """
+    files = spark.read.text(path).inputFiles()
+    if len(files) < 2:
+        return conform(spark.read.option("header", True).csv(path), schema, aliases)
+    versions: dict[str, list[str]] = {}
+    for file in files:
+        for line in spark.read.text(file).head(1):
+            versions.setdefault(line.value, []).append(file)
+    parts = [
+        conform(spark.read.option("header", True).csv(version), schema, aliases) for version in versions.values()
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def customers(spark: SparkSession, path: str) -> DataFrame:
@@ -37,13 +52,22 @@ def read_table(
     schema: StructType | None = None,
     periods: Sequence[str] | None = None,
     period_column: str = "billing_period",
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Parquet, with ``periods`` read from their directories only.
+    """Parquet, with ``periods`` read from their directories only. Of a table that holds runs,
+    one is read: ``run_id``, or the last by name.
 
     Period directories look like dates; they are kept as text whatever the session infers.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
+    stored = df if schema is None else spark.read.parquet(path)
+    if "run_id" in stored.columns:
+        run = F.col("run_id").cast("string")
+        chosen = run_id if run_id is not None else stored.agg(F.max(run)).first()[0]
+        df = reader.option("basePath", path).parquet(f"{path}/run_id={chosen}").drop("run_id")
+    elif run_id is not None:
+        raise ValueError(f"{path} holds no runs")
     for name in ("billing_period", "allocated_period", "cohort_month"):
         if name in df.columns and df.schema[name].dataType.typeName() != "string":
             df = df.withColumn(name, F.date_format(F.col(name), "yyyy-MM"))

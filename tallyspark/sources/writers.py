@@ -1,7 +1,9 @@
 """Output tables: column contract, layout, and overwrite rules.
 
-A partitioned table replaces only the partitions it writes. With ``run_id`` each run has
-its own partition instead, so that runs cannot collide and a rerun replaces itself.
+A snapshot table, which its job recomputes in full, is replaced as a whole, so a rerun leaves
+no row of a partition that it no longer fills. Other partitioned tables replace only the
+partitions they write. With ``run_id`` each run has its own folder, so that runs cannot collide
+and a rerun replaces itself; ``readers.read_table`` chooses one run.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from .. import schemas
 
@@ -19,17 +21,18 @@ class Table:
     columns: Sequence[str] | None
     partition_by: Sequence[str] = ()
     files: int | None = None  # only for tables bounded by the calendar
+    snapshot: bool = False
 
 
 TABLES = {
-    "rfm_segments": Table(schemas.RFM_COLUMNS, ["rfm_segment"]),
-    "revenue_alerts": Table(schemas.ALERT_COLUMNS, ["severity_band", "segment"]),
+    "rfm_segments": Table(schemas.RFM_COLUMNS, ["rfm_segment"], snapshot=True),
+    "revenue_alerts": Table(schemas.ALERT_COLUMNS, ["severity_band", "segment"], snapshot=True),
     "segment_totals": Table(None),
-    "performance_report": Table(None),
-    "mrr_events": Table(schemas.LEDGER_COLUMNS, ["billing_period"]),
-    "cohort_arr_matrix": Table(None, ["cohort_month"]),
-    "allocated_revenue": Table(schemas.ALLOCATION_COLUMNS, ["allocated_period"]),
-    "nrr_metrics": Table(schemas.RETENTION_COLUMNS, ["cohort_month"]),
+    "performance_report": Table(None, ["report_date"]),
+    "mrr_events": Table(schemas.LEDGER_COLUMNS, ["billing_period"], snapshot=True),
+    "cohort_arr_matrix": Table(None, ["cohort_month"], snapshot=True),
+    "allocated_revenue": Table(schemas.ALLOCATION_COLUMNS, ["allocated_period"], snapshot=True),
+    "nrr_metrics": Table(schemas.RETENTION_COLUMNS, ["cohort_month"], snapshot=True),
     "arr_waterfall": Table(schemas.WATERFALL_COLUMNS, files=4),
 }
 
@@ -59,10 +62,11 @@ def write_table(
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
     if run_id is not None:
-        df, partition_by = df.withColumn("run_id", F.lit(run_id)), ["run_id", *partition_by]
+        path = f"{path}/run_id={run_id}"
     writer = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        whole = table.snapshot or run_id is not None
+        writer = writer.option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
 
 

@@ -130,3 +130,29 @@ def test_park_cuts_lineage_and_keeps_pushdown(spark, capsys):
     plan = capsys.readouterr().out
     assert "Range" not in plan and "ReadSchema: struct<v:bigint>" in plan and "GreaterThan(v,10)" in plan
     assert parked.count() == 100
+
+
+def test_snapshot_rerun_leaves_no_stale_partition(frame, spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(writers.TABLES, "snap", writers.Table(None, ["seg"], snapshot=True))
+    path = str(tmp_path / "snap")
+    writers.write_table(frame("id int, seg string", (1, "a"), (2, "b")), "snap", path)
+    writers.write_table(frame("id int, seg string", (1, "b")), "snap", path)
+    assert [(r.id, r.seg) for r in spark.read.parquet(path).collect()] == [(1, "b")]
+
+
+def test_a_run_is_chosen_and_a_rerun_replaces_it(frame, spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(writers.TABLES, "snap", writers.Table(None, ["seg"], snapshot=True))
+    path = str(tmp_path / "runs")
+    for run, seg in (("r1", "a"), ("r2", "a"), ("r1", "b")):
+        writers.write_table(frame("id int, seg string", (1, seg)), "snap", path, run_id=run)
+    assert [r.seg for r in readers.read_table(spark, path).collect()] == ["a"]
+    assert [r.seg for r in readers.read_table(spark, path, run_id="r1").collect()] == ["b"]
+
+
+def test_csv_files_with_other_header_order(spark, tmp_path):
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    (folder / "1.csv").write_text("order_id,customer_id,order_date,status,total_amount\no1,c1,2024-01-02,paid,5.0\n")
+    (folder / "2.csv").write_text("customer_id,order_id,status,order_date,total_amount\nc2,o2,paid,2024-01-03,7.0\n")
+    rows = sorted((r.order_id, r.customer_id, r.total_amount) for r in readers.orders(spark, str(folder)).collect())
+    assert rows == [("o1", "c1", 5.0), ("o2", "c2", 7.0)]
