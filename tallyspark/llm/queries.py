@@ -42,7 +42,7 @@ def op2_quality_rules(spark, sf_dir):
     judged = quality.judge(documents(spark, sf_dir))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return judged.select(
-        "doc_id", *[F.col(f"q_{c}").alias(c) for c in counts], F.col("q_rejected_by").alias("rejected_by"), F.col("q_kept").alias("kept")
+        "doc_id", *[F.col(f"q_{c}").alias(c) for c in counts], F.col("q_kept").alias("kept")
     )
 
 
