@@ -13,23 +13,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyspark import scratch
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is parked, shuffle files go as soon as its statement has ended, and its
+#: columns, mostly ids, hashes and text, are compressed well.
+PARKING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
 
 
 @contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the statements inside are deleted as soon as each has ended."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+def parking(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in PARKING}
+    for key, value in PARKING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def park(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder; its shuffle files are freed."""
-    with freed_shuffles(df.sparkSession):
+    with parking(df.sparkSession):
         return scratch.park(df)
 
 
