@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, fingerprint, lm, near, packing, quality, sharding, spans, tokenbin, toxicity
 from .common import held_out
+from .twins import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

@@ -1,0 +1,19 @@
+"""Queries against their SQL twins on the smallest test tables."""
+
+import pytest
+
+from checks import compare
+from tallyspark.llm.queries import ORACLE, QUERIES
+
+from .cases import DATA, needs_data
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_agrees_with_sql(spark, name):
+    df = QUERIES[name](spark, DATA)
+    result = compare.connect(DATA).execute(ORACLE[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(columns) == sorted(df.columns)
+    theirs = compare.rows_of(columns, result.fetchall())
+    assert theirs and compare.rows_of(df.columns, df.collect()) == theirs
