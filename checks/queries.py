@@ -417,7 +417,7 @@ def arr_movement(spark, sf_dir):
 
 @query
 def cohort_matrix(spark, sf_dir):
-    return cohort.cohort_matrix(_movements(spark, sf_dir), DIMS)
+    return _matrix_of(park(_ledger(spark, sf_dir))).drop("net_revenue_retention_rate")
 
 
 @query
@@ -485,8 +485,8 @@ def recognition_status(spark, sf_dir):
 
 @query
 def allocation_recon(spark, sf_dir):
-    expanded = allocation.expand_months(_allocated(spark, sf_dir))
-    return allocation.reconcile_expanded(expanded).select(
+    checked = allocation.rounding_difference(_allocated(spark, sf_dir))
+    return allocation.expand_months(checked).select(
         "subscription_id", "billing_period", "allocated_period", "closing_mrr_dollars",
         "sum_allocated_mrr", "allocation_rounding_diff",
     )

@@ -21,16 +21,24 @@ def col(c: str | Column) -> Column:
 
 
 def units(amount: str | Column, scale: int = UNITS) -> Column:
-    """Amount in whole ``1/scale`` as BIGINT; NULL for NULL, NaN and infinity."""
-    return F.rint(col(amount) * F.lit(scale)).try_cast("bigint")
+    """Amount in whole ``1/scale`` as BIGINT; NULL for NULL.
+
+    NaN, infinity and amounts beyond 63 bits fail the query: a sum that left them out would
+    look right. Finer fractions than ``1/scale`` are rounded row by row; such columns need a
+    larger ``scale``.
+    """
+    scaled = F.rint(col(amount).cast("double") * F.lit(scale))
+    misfit = F.concat(F.lit("amount does not fit whole units: "), scaled.cast("string"))
+    whole = scaled.try_cast("bigint")
+    return F.when(scaled.isNull() | whole.isNotNull(), whole).otherwise(F.raise_error(misfit).cast("bigint"))
 
 
-def total(amount: str | Column, over: WindowSpec | None = None) -> Column:
-    """Order-independent sum of a money column, as double."""
-    s = F.sum(units(amount))
+def total(amount: str | Column, over: WindowSpec | None = None, scale: int = UNITS) -> Column:
+    """Order-independent sum of a column with a fixed number of decimals, as double."""
+    s = F.sum(units(amount, scale))
     if over is not None:
         s = s.over(over)
-    return s / F.lit(float(UNITS))
+    return s / F.lit(float(scale))
 
 
 def mean(

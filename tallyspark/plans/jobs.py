@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ..operators import allocation, anomaly, cohort, ledger, quality, retention, rfm, segment, waterfall
+from ..operators import alerts, allocation, anomaly, cohort, ledger, quality, retention, rfm, segment, waterfall
 from ..scratch import park
 from ..sources import readers
 from ..sources.writers import write_json, write_table
@@ -15,6 +16,52 @@ from ..sources.writers import write_json, write_table
 NULL_SEGMENT_LIMIT = 0.05
 
 
+def ingest_job(
+    spark: SparkSession,
+    landing: DataFrame,
+    schema: StructType,
+    keys: Sequence[str],
+    output_path: str,
+    run_id: str,
+    aliases: quality.Aliases | None = None,
+) -> DataFrame:
+    """Landed rows to curated and quarantined ones; returns the run's metrics.
+
+    ``landing`` holds the columns as they arrived (``quality.merge_versions`` of text columns
+    joins versions). A row is curated where ``keys`` are present and every value parses as
+    ``schema`` declares; the others go to quarantine as they arrived, with the rules they
+    fail. All four tables of a run lie in its own folder: ``curated``, ``quarantine``,
+    ``run_metrics`` and, written last, ``manifest``. ``published`` reads a run only by its
+    manifest.
+    """
+    landed = park(landing)
+    rules = {**quality.present(*keys), **quality.unreadable(landed, schema, aliases)}
+    good, bad = quality.split_valid(landed, rules)
+    curated, quarantine, metrics, manifest = (
+        f"{output_path}/{name}/run_id={run_id}" for name in ("curated", "quarantine", "run_metrics", "manifest")
+    )
+    quality.conform(good, schema, aliases).write.mode("overwrite").parquet(curated)
+    bad.write.mode("overwrite").parquet(quarantine)
+    stored = spark.read.schema(schema).parquet(curated)
+    counts = quality.metric_rows(quality.ingest_counts(landed, rules), run_id, "ingest")
+    counts.drop("run_id").write.mode("overwrite").parquet(metrics)
+    written, refused = stored.count(), spark.read.parquet(quarantine).count()
+    counted = {r.metric: r.value for r in counts.collect()}
+    quality.check(counted, {"all_rows_landed": written + refused == counted["bronze"]})
+    quality.manifest(stored, schema.names).write.mode("overwrite").parquet(manifest)
+    return counts
+
+
+def published(spark: SparkSession, path: str, schema: StructType, run_id: str | None = None) -> DataFrame:
+    """Curated rows of a run (the last by name unless given) after a check of its manifest."""
+    chosen = run_id if run_id is not None else readers.last_run(spark.read.parquet(f"{path}/manifest"))
+    listed = spark.read.parquet(f"{path}/manifest/run_id={chosen}")
+    stored = spark.read.schema(schema).parquet(f"{path}/curated/run_id={chosen}")
+    wrong = quality.check_manifest(listed, quality.manifest(stored, schema.names)).count()
+    quality.check({"differing_files": wrong}, {"manifest": wrong == 0})
+    return stored
+
+
 def segment_customers(
     orders: DataFrame,
     customers: DataFrame,
@@ -41,10 +88,16 @@ def rfm_job(
     weights: Sequence[float] = rfm.WEIGHTS,
     processed_at: datetime | None = None,
     run_id: str | None = None,
+    orders_are_unique: bool = False,
+    as_of: date | str | None = None,
 ) -> DataFrame:
     """CSV orders and customers to the segments table; returns the segment distribution."""
     enriched = segment_customers(
-        readers.orders(spark, orders_path), readers.customers(spark, customers_path), weights
+        readers.orders(spark, orders_path),
+        readers.customers(spark, customers_path),
+        weights,
+        orders_are_unique,
+        as_of,
     ).withColumn(
         "processing_timestamp", F.lit(processed_at) if processed_at else F.current_timestamp()
     )
@@ -67,8 +120,12 @@ def anomaly_job(
     lookback: int = anomaly.LOOKBACK,
     generated_at: datetime | None = None,
     run_id: str | None = None,
+    route_path: str | None = None,
 ) -> DataFrame:
-    """Daily revenue and the segments table to the alerts table; returns the alert summary."""
+    """Daily revenue and the segments table to the alerts table; returns the alert summary.
+
+    ``route_path`` takes the escalation route of these alerts.
+    """
     plausible = anomaly.plausible_revenue(readers.segment_revenue(spark, revenue_path))
     revenue = anomaly.daily_series(plausible)
     metrics = anomaly.segment_metrics(readers.read_table(spark, segments_path))
@@ -83,6 +140,8 @@ def anomaly_job(
     rate = m["anomaly_rows"] / max(m["total_rows"], 1)
     quality.check(m, {"anomaly_rate": rate <= anomaly.ALERT_RATE_LIMIT}, on_fail="warn")
     write_table(found, "revenue_alerts", output_path, run_id)
+    if route_path is not None:
+        write_table(alerts.escalation_route(found), "escalation_route", route_path, run_id)
     return anomaly.alert_summary(found)
 
 
@@ -93,20 +152,35 @@ def segment_job(
     report_path: str,
     report_date: date | str,
     json_path: str | None = None,
+    payload_path: str | None = None,
+    summary_path: str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Daily revenue to segment totals and the scored performance report; returns the latter."""
+    """Daily revenue to segment totals and the scored performance report; returns the latter.
+
+    ``payload_path`` takes one alert payload per segment, ``summary_path`` the one-row summary
+    of the period; both are kept by report date.
+    """
     daily = segment.daily_series(readers.daily_revenue(spark, revenue_path))
     write_table(
         segment.segment_totals(segment.flag_spikes(segment.rolling_week(daily))),
         "segment_totals",
         totals_path,
+        run_id,
     )
     scored = segment.threshold_scores(
         segment.week_over_week(segment.revenue_zscore(segment.rolling_stats(daily)))
     )
     report = segment.performance_report(scored, report_date)
-    write_table(report, "performance_report", report_path)
-    written = readers.read_table(spark, report_path)
+    write_table(report, "performance_report", report_path, run_id)
+    stamp = F.lit(report_date).cast("date").alias("report_date")
+    if payload_path is not None:
+        payloads = alerts.alert_payloads(scored, report_date)
+        write_table(payloads.select("*", stamp), "alert_payloads", payload_path, run_id)
+    if summary_path is not None:
+        summary = segment.summary_stats(scored)
+        write_table(summary.select("*", stamp), "report_summary", summary_path, run_id)
+    written = readers.read_table(spark, report_path, run_id=run_id)
     written = written.where(F.col("report_date") == F.lit(report_date).cast("date")).select(*report.columns)
     if json_path is not None:
         write_json(written, json_path)
@@ -119,13 +193,14 @@ def ledger_job(
     output_path: str,
     metadata_path: str | None = None,
     keep: str = "first",
+    run_id: str | None = None,
 ) -> None:
     rows = ledger.mrr_ledger(
         readers.billing_events(spark, events_path),
         readers.account_metadata(spark, metadata_path),
         keep,
     )
-    write_table(rows, "mrr_events", output_path)
+    write_table(rows, "mrr_events", output_path, run_id)
 
 
 def cohort_job(
@@ -134,11 +209,12 @@ def cohort_job(
     output_path: str,
     dims: Sequence[str] = cohort.DIMENSIONS,
     densify: bool = True,
+    run_id: str | None = None,
 ) -> None:
     rows = readers.read_table(spark, ledger_path)
     if "cohort_month" not in rows.columns:
         rows = cohort.cohort_key(rows)
-    write_table(cohort.build_matrix(rows, dims, densify), "cohort_arr_matrix", output_path)
+    write_table(cohort.build_matrix(rows, dims, densify), "cohort_arr_matrix", output_path, run_id)
 
 
 def allocation_job(
@@ -148,6 +224,7 @@ def allocation_job(
     as_of: date | str,
     schedule_path: str | None = None,
     contract_value_basis: str = "recurring",
+    run_id: str | None = None,
 ) -> None:
     allocated = allocation.allocate_revenue(
         readers.read_table(spark, ledger_path),
@@ -155,7 +232,7 @@ def allocation_job(
         readers.contract_schedule(spark, schedule_path),
         contract_value_basis,
     )
-    write_table(allocated, "allocated_revenue", output_path, allow_missing=True)
+    write_table(allocated, "allocated_revenue", output_path, run_id, allow_missing=True)
 
 
 def retention_job(
@@ -165,6 +242,7 @@ def retention_job(
     output_path: str,
     dims: Sequence[str] = cohort.DIMENSIONS,
     min_accounts: int = retention.MIN_ACCOUNTS,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Writes the retention table; returns its rows with an implausible NRR."""
     metrics = retention.retention_metrics(
@@ -173,8 +251,8 @@ def retention_job(
         dims,
         min_accounts,
     )
-    write_table(metrics, "nrr_metrics", output_path, allow_missing=True)
-    odd = retention.implausible_nrr(readers.read_table(spark, output_path))
+    write_table(metrics, "nrr_metrics", output_path, run_id, allow_missing=True)
+    odd = retention.implausible_nrr(readers.read_table(spark, output_path, run_id=run_id))
     count = odd.count()
     quality.check({"implausible_rows": count}, {"plausible_nrr": count == 0}, on_fail="warn")
     return odd
@@ -188,6 +266,7 @@ def waterfall_job(
     basis: str = "active",
     tolerance: float = waterfall.TOLERANCE,
     with_neutral: bool = True,
+    run_id: str | None = None,
 ) -> None:
     """Writes the waterfall only when it reconciles; neutral movements (pauses, changes without
     growth) count as disclosed unless ``with_neutral`` is off."""
@@ -197,4 +276,4 @@ def waterfall_job(
         )
     )
     waterfall.require_reconciled(built, tolerance, with_neutral)
-    write_table(built, "arr_waterfall", output_path)
+    write_table(built, "arr_waterfall", output_path, run_id)

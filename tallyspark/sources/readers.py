@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,6 +48,12 @@ def segment_revenue(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.SEGMENT_REVENUE)
 
 
+def last_run(stored: DataFrame) -> str:
+    """The last run by name, from the folders: the column may be read as a number or a date."""
+    folders = (re.search(r"/run_id=([^/]+)/", unquote(file)) for file in stored.inputFiles())
+    return max(found[1] for found in folders if found)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -63,8 +71,7 @@ def read_table(
     df = reader.parquet(path)
     stored = df if schema is None else spark.read.parquet(path)
     if "run_id" in stored.columns:
-        run = F.col("run_id").cast("string")
-        chosen = run_id if run_id is not None else stored.agg(F.max(run)).first()[0]
+        chosen = run_id if run_id is not None else last_run(stored)
         df = reader.option("basePath", path).parquet(f"{path}/run_id={chosen}").drop("run_id")
     elif run_id is not None:
         raise ValueError(f"{path} holds no runs")

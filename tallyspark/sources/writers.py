@@ -29,6 +29,9 @@ TABLES = {
     "revenue_alerts": Table(schemas.ALERT_COLUMNS, ["severity_band", "segment"], snapshot=True),
     "segment_totals": Table(None),
     "performance_report": Table(None, ["report_date"]),
+    "alert_payloads": Table(None, ["report_date"]),
+    "report_summary": Table(None, ["report_date"]),
+    "escalation_route": Table(None, files=1),
     "mrr_events": Table(schemas.LEDGER_COLUMNS, ["billing_period"], snapshot=True),
     "cohort_arr_matrix": Table(None, ["cohort_month"], snapshot=True),
     "allocated_revenue": Table(schemas.ALLOCATION_COLUMNS, ["allocated_period"], snapshot=True),

@@ -8,12 +8,23 @@ def one(spark, *cols):
     return tuple(spark.range(1).select(*cols).first())
 
 
-def test_money_sum_is_exact_and_ignores_null_and_nan(frame):
-    df = frame("a double", *[(0.1,)] * 10, (None,), (float("nan"),))
+def test_money_sum_is_exact_and_ignores_null(frame):
+    df = frame("a double", *[(0.1,)] * 10, (None,))
     row = df.agg(exprs.total("a").alias("s"), exprs.mean("a").alias("m")).first()
     assert row.s == 1.0 and row.m == 0.1
 
 
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), -1e16])
+def test_an_amount_that_does_not_fit_fails_the_sum(frame, bad):
+    with pytest.raises(Exception, match="does not fit"):
+        frame("a double", (1.0,), (bad,)).agg(exprs.total("a")).collect()
+
+
+def test_finer_fractions_need_a_larger_scale(frame):
+    df = frame("a double", *[(0.00004,)] * 3)
+    assert df.agg(exprs.total("a", scale=1_000_000)).first()[0] == 0.00012
+
+
 def test_mean_without_rows_is_null(frame):
     row = frame("a double", (None,)).agg(exprs.total("a").alias("s"), exprs.mean("a").alias("m")).first()
     assert row.s is None and row.m is None

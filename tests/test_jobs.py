@@ -4,7 +4,7 @@ import pytest
 
 from tallyspark.operators import quality
 from tallyspark.plans import jobs
-from tallyspark.schemas import ACCOUNT_METADATA, BILLING_EVENTS, CONTRACT_SCHEDULE, WATERFALL_COLUMNS
+from tallyspark.schemas import ACCOUNT_METADATA, BILLING_EVENTS, CONTRACT_SCHEDULE, WATERFALL_COLUMNS, schema
 from tallyspark.sources import readers
 
 from .conftest import by
@@ -77,6 +77,45 @@ def test_segment_report(spark, frame, tmp_path):
     assert by(readers.read_table(spark, totals), "segment_id")["a"]["spike_count"] == 1
     assert spark.read.json(as_json).count() == 60
 
+    payloads, summary = str(tmp_path / "payloads"), str(tmp_path / "summary")
+    for day in ("2024-02-01", "2024-02-02"):
+        jobs.segment_job(spark, source, totals, report, day, payload_path=payloads, summary_path=summary)
+    assert readers.read_table(spark, report).count() == 120  # one report for each date
+    assert by(readers.read_table(spark, payloads), "segment_id", "report_date")["a", date(2024, 2, 1)]["anomaly_count"] >= 1
+    assert {r.active_segments for r in readers.read_table(spark, summary).collect()} == {2}
+
+
+LANDED = schema("id bigint, day date, amount double")
+
+
+def test_ingest_splits_counts_and_signs(spark, frame, tmp_path):
+    text = "id string, day string, amount string"
+    old = frame("id string, on_day string, amount string", ("4", "2024-01-04", "4.5"), ("x", "2024-01-04", "1"))
+    new = frame(text, ("1", "2024-01-01", "2.5"), ("2", "2024-01-02", "1,000"), (None, "2024-01-03", "1"), ("3", "2024-01-03", None))
+    landing = new.unionByName(old, allowMissingColumns=True)
+    out = str(tmp_path / "out")
+    counts = jobs.ingest_job(spark, landing, LANDED, ["id"], out, "r1", {"day": ["on_day"]})
+    assert {r.metric: r.value for r in counts.collect()} == {"bronze": 6, "silver": 3, "bad": 3}
+    rows = by(jobs.published(spark, out, LANDED), "id")
+    assert set(rows) == {1, 3, 4} and rows[4]["day"] == date(2024, 1, 4) and rows[3]["amount"] is None
+    refused = spark.read.parquet(f"{out}/quarantine")
+    assert {r.amount: r.failed_rules for r in refused.collect() if r.id == "2"} == {"1,000": ["amount_readable"]}
+
+    jobs.ingest_job(spark, new.limit(1), LANDED, ["id"], out, "r2")
+    assert jobs.published(spark, out, LANDED).count() == 1
+    assert jobs.published(spark, out, LANDED, "r1").count() == 3
+    frame("id bigint, day date, amount double", (9, None, 1.0)).write.mode("append").parquet(f"{out}/curated/run_id=r2")
+    with pytest.raises(quality.GateFailed, match="manifest"):
+        jobs.published(spark, out, LANDED)
+
+
+def test_runs_of_the_chain_are_read_one_at_a_time(spark, frame, tmp_path):
+    events, path = str(tmp_path / "events"), str(tmp_path / "ledger")
+    frame(BILLING_EVENTS, *billing()).write.parquet(events)
+    for run in ("r1", "r2"):
+        jobs.ledger_job(spark, events, path, run_id=run)
+    assert readers.read_table(spark, path).count() == 180
+
 
 def billing(chained=True):
     """12 accounts over 15 months, one event a month; each before is the previous after."""

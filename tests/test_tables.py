@@ -156,3 +156,12 @@ def test_csv_files_with_other_header_order(spark, tmp_path):
     (folder / "2.csv").write_text("customer_id,order_id,status,order_date,total_amount\nc2,o2,paid,2024-01-03,7.0\n")
     rows = sorted((r.order_id, r.customer_id, r.total_amount) for r in readers.orders(spark, str(folder)).collect())
     assert rows == [("o1", "c1", 5.0), ("o2", "c2", 7.0)]
+
+
+@pytest.mark.parametrize("runs", [("2024-01", "2024-02"), ("001", "002")])
+def test_run_names_that_look_like_dates_or_numbers(frame, spark, tmp_path, ledger_table, runs):
+    path = str(tmp_path / "runs")
+    for i, run in enumerate(runs):
+        writers.write_table(frame(LEDGER, ("2024-01", i)), ledger_table, path, run_id=run)
+    assert [r.v for r in readers.read_table(spark, path).collect()] == [1]
+    assert [r.v for r in readers.read_table(spark, path, run_id=runs[0]).collect()] == [0]
