@@ -512,10 +512,14 @@ CTES = {
       FROM events""",
     "listed": f"""
       SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum({HASH}) AS BIGINT) AS h FROM events
-      WHERE CAST(ts AS DATE) <> DATE '2024-01-09' GROUP BY 1""",
+      GROUP BY 1""",
     "there": f"""
-      SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum({HASH}) AS BIGINT) AS h FROM events
-      WHERE CAST(ts AS DATE) <> DATE '2024-01-05' AND event_id % 5000 <> 4999 GROUP BY 1""",
+      SELECT day, count(*) AS n, CAST(sum({HASH}) AS BIGINT) AS h
+      FROM (SELECT * REPLACE (CASE WHEN dayofweek(ts) = 0 AND event_type = 'error' THEN 'fault' ELSE event_type END
+            AS event_type),
+          CASE WHEN CAST(ts AS DATE) = DATE '2024-01-05' THEN DATE '2023-12-31' ELSE CAST(ts AS DATE) END AS day
+        FROM events)
+      GROUP BY 1""",
 }
 
 
@@ -741,10 +745,12 @@ FINALS = {
         unnest([CAST(count(*) AS DOUBLE), CAST(count(*) FILTER (id IS NULL) AS DOUBLE)]) AS value
       FROM landed""",
     "canary": f"""
-      SELECT count(*) AS source_row_count, CAST(sum({HASH}) AS BIGINT) AS source_checksum,
-        count(*) FILTER (event_type <> 'error') AS output_row_count,
-        CAST(sum({HASH}) FILTER (event_type <> 'error') AS BIGINT) AS output_checksum,
-        count(*) = count(*) FILTER (event_type <> 'error') AS matches FROM events""",
+      SELECT s.n AS source_row_count, s.h AS source_checksum, o.n AS output_row_count,
+        o.h AS output_checksum, s.n = o.n AND s.h = o.h AS matches
+      FROM (SELECT count(*) AS n, CAST(sum({HASH}) AS BIGINT) AS h FROM events) s,
+        (SELECT count(*) AS n, CAST(sum({HASH}) AS BIGINT) AS h
+          FROM (SELECT * REPLACE (CASE event_type WHEN 'error' THEN 'fault' ELSE event_type END AS event_type)
+            FROM events)) o""",
     "manifest_check": """
       SELECT day, listed.n AS expected_rows, listed.h AS expected_checksum, there.n AS actual_rows,
         there.h AS actual_checksum, CASE WHEN there.n IS NULL THEN 'missing'
@@ -770,7 +776,7 @@ FINALS = {
           CASE WHEN event_id % 2 = 0 THEN '["log_' || event_id || '"]' ELSE '[]' END AS artifacts,
           CASE WHEN event_id % 3 = 0 THEN '["main.py"]' ELSE '[]' END AS code_paths,
           CASE WHEN event_id % 5 = 0 THEN '{"retries":"' || (event_id % 4) || '"}' ELSE '{}' END AS config
-        FROM events WHERE event_type = 'error')""",
+        FROM events)""",
 }
 
 ORACLE = {name: statement(final.strip()) for name, final in FINALS.items()}
