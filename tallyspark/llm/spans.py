@@ -9,12 +9,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chained, plain, portions
+from .common import chained, park, plain, portions
 
 #: Ends of sentences: white space after a stop, or a line break.
 ENDS = re.compile(r"((?<=[.!?])[ \t\r\f\v]+|[ \t\r\f\v]*\n\s*)")
 WORDS = re.compile(r"\s*\S+\s*")
 LONGEST, SPAN, LEAST_WORDS = 12, 3, 20
+#: A span that more than one in so many occurrences of repeated spans belong to is joined in
+#: slices. There can be no more such spans than this, so their list is broadcast.
+SLICES = 10_000
 
 
 def sentences(text: str, longest: int = LONGEST) -> tuple[list[str], list[int]]:
@@ -118,18 +121,21 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spa
     id or earlier in the same one.
 
     Counts and first places are combined before the shuffle, so a span that a third of all
-    texts hold costs one row per task; where such a span is joined back to its texts, Spark
-    splits its partition.
+    texts hold costs one row per task. Where it is joined back to its texts, it is cut into
+    slices of at most about one ``SLICES``-th of all occurrences each.
     """
     found = spans(docs, id_col, text_col, span)
     place = F.struct("id", "tag", "at")
-    firsts = (
-        found.groupBy("high", "low")
-        .agg(F.count("*").alias("n"), F.min(place).alias("first"))
-        .where("n > 1")
-        .select("high", "low", "first")
-    )
-    later = found.join(firsts, ["high", "low"]).where(~place.eqNullSafe(F.col("first")))
+    counted = found.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    firsts = park(counted.where("n > 1"))
+    total = firsts.agg(F.sum("n")).first()[0] or 0
+    slices = F.ceil(F.col("n") / max(1.0, total / SLICES)).cast("int")
+    firsts = firsts.withColumn("slices", slices)
+    common = firsts.where("slices > 1").select("high", "low", "slices")
+    dealt = found.join(F.broadcast(common), ["high", "low"], "left")  # fewer rows than SLICES
+    dealt = dealt.withColumn("slice", F.coalesce(F.pmod(F.xxhash64("id", "tag", "at"), F.col("slices")).cast("int"), F.lit(0)))
+    copies = firsts.select("high", "low", "first", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    later = dealt.join(copies, ["high", "low", "slice"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("id", "tag").agg(F.collect_set("at").alias("starts"))
 
 
