@@ -130,20 +130,20 @@ class Automaton:
     def __init__(self, found: Grams, counts: list[np.ndarray], tokens: int, kinds: int, curve: np.ndarray) -> None:
         self.known = [c > 0 for c in counts]
         first = (counts[0] + 1.0) / (tokens + kinds + 1.0)
-        self.arcs, self.failure = [first], [np.zeros(len(first))]
+        self.log, self.failure = [np.log10(first)], [np.zeros(len(first))]
+        below = first
         for k in range(1, len(counts)):
             context = contexts(found, k)
             size = counts[k - 1][context].astype(float)
             bins = np.minimum(np.log2(np.maximum(size + 1, 1)).astype(int), BINS - 1)
             escape = np.where(size > 0, curve[k][bins], 1.0)
-            shorter = self._shorter(found, k)
-            below = self.arcs[k - 1][shorter]
+            below = below[self._shorter(found, k)]
             share = np.divide(counts[k], size, out=np.zeros(len(size)), where=size > 0)
             # Arcs carry the interpolated probability; where there is no arc the value is that
             # of the failure arc and what follows it.
-            self.arcs.append(np.where(self.known[k], (1 - escape) * share, 0.0) + escape * below)
+            below = np.where(self.known[k], (1 - escape) * share, 0.0) + escape * below
+            self.log.append(np.log10(below))
             self.failure.append(np.log10(escape))
-        self.log = [np.log10(a) for a in self.arcs]
 
     @staticmethod
     def _shorter(found: Grams, k: int) -> np.ndarray:
@@ -260,20 +260,61 @@ def _answers(bucket: int, rows: list[dict], order: int) -> pa.RecordBatch:
     return _batch(REPLY, out)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:
-    """Rows that follow each other with one key."""
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows that follow each other with one key. A list is emptied when the next is asked for."""
     held, now = [], None
     for batch in batches:
-        for row in batch.to_pylist():
-            if held and row[key] != now:
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for start, end in zip(cuts, cuts[1:]):
+            if start == end:
+                continue
+            if held and keys[start] != now:
                 yield now, held
-                held = []
-            now = row[key]
-            held.append(row)
+                held.clear()
+            now = int(keys[start])
+            held += batch.slice(start, end - start).to_pylist()
     if held:
         yield now, held
 
 
+RESULT = "train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _scored(
+    held: list[dict], order: int, buckets: int, tokens: int, kinds: int, curve: np.ndarray, id_col: str, id_type: pa.DataType
+) -> pa.RecordBatch:
+    """Scores of a block's texts, which stand before the answers to its questions. What the
+    block builds is freed on return, before the next block is read."""
+    replies = [r for r in held if r["bucket"] is not None]
+    own = [r for r in held if r["bucket"] is None]
+    found = grams([r["text"] for r in own], np.array([r["train"] for r in own]), order)
+    w_order, g_order = (part[0] for part in _layout(found, buckets))
+    w, g = np.empty(len(w_order), np.int64), np.empty(len(g_order), np.int64)
+    if replies:
+        w[w_order] = np.concatenate([_unpacked(r["wn"], r["wx"]) for r in replies])
+        g[g_order] = np.concatenate([_unpacked(r["gn"], r["gx"]) for r in replies])
+    del w_order, g_order, replies
+    counts = [w, *np.split(g, np.cumsum([len(k) for k in found.keys[1:]])[:-1])] if order > 1 else [w]
+    automaton = Automaton(found, counts, tokens, kinds, curve)
+    logs = automaton.traverse(found)
+    base = np.where(found.predicted, automaton.log[0][found.ids[0]], 0.0)
+    seen = found.predicted & (w[found.ids[0]] > 0)
+    n = len(own)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([r["id"] for r in own]).cast(id_type),
+            pa.array([r["train"] for r in own], pa.bool_()),
+            pa.array(np.bincount(found.text, weights=found.predicted, minlength=n).astype(np.int64)),
+            pa.array(np.bincount(found.text, weights=seen, minlength=n).astype(np.int64)),
+            pa.array(np.full(n, tokens, np.int64)),
+            pa.array(np.bincount(found.text, weights=base, minlength=n)),
+            pa.array(np.bincount(found.text, weights=logs, minlength=n)),
+        ],
+        names=[id_col, *[f.split()[0] for f in RESULT.split(", ")]],
+    )
+
+
 def score(
     docs: DataFrame,
     train: Column,
@@ -329,40 +370,11 @@ def score(
 
     def evaluate(batches):
         for _, held in _groups(batches, "block"):
-            replies = [r for r in held if r["bucket"] is not None]
-            own = [r for r in held if r["bucket"] is None]
-            found = grams([r["text"] for r in own], np.array([r["train"] for r in own]), order)
-            (w_order, *_), (g_order, *_) = _layout(found, buckets)
-            w, g = np.empty(len(w_order), np.int64), np.empty(len(g_order), np.int64)
-            if replies:
-                w[w_order] = np.concatenate([_unpacked(r["wn"], r["wx"]) for r in replies])
-                g[g_order] = np.concatenate([_unpacked(r["gn"], r["gx"]) for r in replies])
-            counts = [w, *np.split(g, np.cumsum([len(k) for k in found.keys[1:]])[:-1])] if order > 1 else [w]
-            automaton = Automaton(found, counts, tokens, kinds, curve)
-            logs = automaton.traverse(found)
-            base = np.where(found.predicted, automaton.log[0][found.ids[0]], 0.0)
-            seen = found.predicted & (w[found.ids[0]] > 0)
-            n = len(own)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r["id"] for r in own]).cast(id_type),
-                    pa.array([r["train"] for r in own], pa.bool_()),
-                    pa.array(np.bincount(found.text, weights=found.predicted, minlength=n).astype(np.int64)),
-                    pa.array(np.bincount(found.text, weights=seen, minlength=n).astype(np.int64)),
-                    pa.array(np.full(n, tokens, np.int64)),
-                    pa.array(np.bincount(found.text, weights=base, minlength=n)),
-                    pa.array(np.bincount(found.text, weights=logs, minlength=n)),
-                ],
-                names=[id_col, "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
+            yield _scored(held, order, buckets, tokens, kinds, curve, id_col, id_type)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(kind)
     both = rows.unionByName(answered.where("block >= 0"), allowMissingColumns=True)
     both = both.repartition("block").sortWithinPartitions("block", "bucket")
-    return both.mapInArrow(
-        evaluate,
-        f"`{id_col}` {kind.simpleString()}, train boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double",
-    )
+    return both.mapInArrow(evaluate, f"`{id_col}` {kind.simpleString()}, {RESULT}")
