@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import park, plain
+from .common import park, plain, portions
 from .pieces import library_encoder
 
 
@@ -30,7 +30,7 @@ def pieces(
         encoder = library_encoder(path)
         end = int(end_id).to_bytes(encoder.width, "little")
         kind = np.dtype(f"<u{encoder.width}")
-        for batch in batches:
+        for batch in portions(batches, 1):
             rows, out = [], []
             for row, ids in enumerate(encoder.encode(plain(batch.column(1)).to_pylist())):
                 tokens = np.frombuffer(ids + end, kind).astype("<u4")
