@@ -12,6 +12,7 @@ import os
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -40,15 +41,11 @@ class PieceEncoder:
         known, cut = self.known, [PIECES.findall(text) for text in texts]
         if len(known) > REMEMBERED:
             known.clear()
-        found = [list(map(known.get, pieces)) for pieces in cut]
-        new = {p for pieces, ids in zip(cut, found, strict=True) if None in ids for p, i in zip(pieces, ids) if i is None}
+        new = set(chain.from_iterable(cut)).difference(known)
         if new:
             order = list(new)
             known.update(zip(order, self.encode_many(order), strict=True))
-        out = [
-            b"".join(map(known.__getitem__, pieces) if None in ids else ids)
-            for pieces, ids in zip(cut, found, strict=True)
-        ]
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
         for piece in [p for p in new if len(p) > LONGEST]:
             del known[piece]
         return out
