@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,33 +21,70 @@ LONGEST, SPAN, LEAST_WORDS = 12, 3, 20
 SLICES = 10_000
 
 
+def cuts(words: list[str], longest: int = LONGEST) -> list[int]:
+    """Ends of the parts of a sentence, none of more than ``longest`` words.
+
+    In every window of ``longest`` words the pair of words with the least hash is followed by a
+    cut, so cuts inside a passage depend on its own words and are the same in all its copies,
+    from the first ``longest`` words of the passage to the last. Where equal pairs share the
+    least hash, the one already cut after stays, so that one repeated word is cut seldom.
+    """
+    n = len(words)
+    if n < longest:
+        return [n]
+    digest, width = xxhash.xxh3_64_intdigest, longest - 1
+    pairs = [digest(f"{a} {b}") for a, b in zip(words, words[1:])]
+    out, first = [], 0
+    while first + width <= n - 1:
+        window = pairs[first : first + width]
+        least = min(window)
+        at = first + width - 1 - window[::-1].index(least)
+        out.append(at + 2)
+        after = at + 1
+        while after < min(at + width, n - 1):
+            if pairs[after] < least:
+                at, least = after, pairs[after]
+                out.append(at + 2)
+            after += 1
+        first = at + 1
+    if out[-1] < n:
+        out.append(n)
+    return out
+
+
+def divided(text: str, longest: int = LONGEST) -> Iterator[tuple[str, str, list[str], list[int]]]:
+    """Each sentence, the white space after it, its words and the ends of its parts."""
+    split = ENDS.split(text)
+    for at in range(0, len(split), 2):
+        words = split[at].split()
+        yield split[at], split[at + 1] if at + 1 < len(split) else "", words, cuts(words, longest) if words else []
+
+
 def sentences(text: str, longest: int = LONGEST) -> tuple[list[str], list[int]]:
     """The parts of ``text`` (joined, they give it back) and the words in each.
 
-    A part is a sentence with the white space after it; a sentence of more than ``longest``
-    words is cut after every ``longest``. Leading white space belongs to the first part.
+    A part is a sentence with the white space after it; a sentence of ``longest`` words or more
+    is cut where its words say so. Leading white space belongs to the first part.
     """
-    split = ENDS.split(text)
     parts, sizes, lead = [], [], ""
-    for at in range(0, len(split), 2):
-        sentence, gap = split[at], split[at + 1] if at + 1 < len(split) else ""
-        n = len(sentence.split())
-        if not n:
+    for sentence, gap, found, ends in divided(text, longest):
+        if not ends:
             if parts:
                 parts[-1] += sentence + gap
             else:
                 lead += sentence + gap
             continue
-        if n <= longest:
-            parts.append(lead + sentence + gap)
-            sizes.append(n)
+        first = len(parts)
+        if len(ends) == 1:
+            parts.append(sentence)
+            sizes.append(len(found))
         else:
             words = WORDS.findall(sentence)
-            for k in range(0, n, longest):
-                parts.append("".join(words[k : k + longest]))
-                sizes.append(len(words[k : k + longest]))
-            parts[-1] += gap
-            parts[-(-(-n // longest))] = lead + parts[-(-(-n // longest))]
+            for start, end in zip([0, *ends], ends):
+                parts.append("".join(words[start:end]))
+                sizes.append(end - start)
+        parts[first] = lead + parts[first]
+        parts[-1] += gap
         lead = ""
     if lead:
         parts.append(lead)
@@ -54,12 +92,15 @@ def sentences(text: str, longest: int = LONGEST) -> tuple[list[str], list[int]]:
     return parts, sizes
 
 
-def span_hashes(parts: list[str], span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+def span_hashes(text: str, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of every run of ``span`` parts; white space does not count."""
-    if len(parts) < span:
+    digest, one = xxhash.xxh3_64_intdigest, []
+    for _, _, words, ends in divided(text):
+        one += [digest(" ".join(words[start:end])) for start, end in zip([0, *ends], ends)]
+    if len(one) < span:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    one = np.fromiter((xxhash.xxh3_64_intdigest(" ".join(p.split())) for p in parts), np.uint64, len(parts))
-    n = len(parts) - span + 1
+    one = np.array(one, np.uint64)
+    n = len(one) - span + 1
     high, low = one[:n], one[:n] ^ np.uint64(0x5851F42D4C957F2D)
     for k in range(1, span):
         high, low = chained(high, one[k : n + k]), chained(one[k : n + k], low)
@@ -92,7 +133,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span:
         for batch in portions(batches, 2):
             high, low, rows, at = [], [], [], []
             for row, text in enumerate(plain(batch.column(2)).to_pylist()):
-                a, b = span_hashes(sentences(text)[0], span)
+                a, b = span_hashes(text, span)
                 high.append(a)
                 low.append(b)
                 rows.append(np.full(len(a), row))

@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 from tallyspark.llm import spans
@@ -64,6 +65,30 @@ def test_a_long_passage_goes_from_all_but_the_first_text(spark):
     assert found == {3: rows[1][1], 5: "", 9: f"{words('a', 9)}.\n{words('b', 9)}."}
 
 
+def test_passages_that_begin_inside_sentences_go(spark):
+    draw = random.Random(7)
+    rows, passages = [], []
+    for i in range(150):
+        passage = [f"w{draw.randrange(3000)}" + draw.choice(["."] + [""] * draw.choice([5, 20, 200])) for _ in range(draw.randint(51, 65))]
+        passages.append(passage)
+        for copy in range(2):
+            before, after = ([f"{side}{i}x{copy}x{k}" for k in range(draw.randint(0, 40))] for side in "ab")
+            rows.append((i + 1000 * copy, " ".join(before + passage + after)))
+    found = dict(cleaned(spark, rows))
+    windows = lambda text: {tuple(text[k : k + 50]) for k in range(len(text) - 49)}
+    for i, passage in enumerate(passages):
+        first, later = dict(rows)[i], dict(rows)[i + 1000].split()
+        left = found[i + 1000].split()
+        assert found[i] == first
+        assert windows(later) & windows(first.split()) and not windows(left) & windows(first.split())
+        own = lambda text: [w for w in text if w[0] != "w"]
+        assert own(left) == own(later) and len(left) - len(own(left)) < 2 * spans.LONGEST
+
+
+def test_one_repeated_word_is_cut_seldom():
+    assert len(spans.sentences("ha " * 1200)[0]) <= 120
+
+
 def test_short_common_sentences_stay(spark):
     rows = [(i, f"Yes. No. Well.\n{words(f'd{i}x', 40)}.") for i in range(6)]
     assert dict(cleaned(spark, rows)) == dict(rows)
