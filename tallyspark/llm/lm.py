@@ -2,9 +2,10 @@
 
 The corpus is read in blocks of documents. A block asks for the corpus counts of all n-grams in
 its texts and adds its own training counts to the request; requests meet in buckets by n-gram
-hash, which answer with the sums. With the answers each block builds the part of the automaton
-its texts can reach and scores them. So counts and questions travel in one shuffle, packed, and
-no task ever holds the model of the whole corpus.
+hash, which answer with the sums. With the answers each block first adds what its training texts
+say of escapes, by corpus counts; then it builds the part of the automaton its texts can reach
+and scores them. So counts and questions travel in one shuffle, packed, and no task ever holds
+the model of the whole corpus.
 """
 
 from __future__ import annotations
@@ -44,6 +45,12 @@ class Grams:
     predicted: np.ndarray
 
 
+def distincts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, and the place of each value among them."""
+    coded = pa.array(values).dictionary_encode()
+    return coded.dictionary.to_numpy(), coded.indices.to_numpy()
+
+
 def grams(texts: list[str], train: np.ndarray, order: int) -> Grams:
     words, index, lengths = words_of(plain(pa.array(texts, pa.string())))
     n_words, n_texts = len(words), len(texts)
@@ -65,7 +72,7 @@ def grams(texts: list[str], train: np.ndarray, order: int) -> Grams:
         before[1:] = ids[-1][:-1]
         there = (depth >= k) & (before >= 0)
         pair = before[there] * len(hashes) + tokens[there]
-        distinct, inverse = np.unique(pair, return_inverse=True)
+        distinct, inverse = distincts(pair)
         here = np.full(total, -1)
         here[there] = inverse
         ids.append(here)
@@ -82,20 +89,16 @@ def contexts(found: Grams, k: int) -> np.ndarray:
     return out
 
 
-def singletons(found: Grams) -> np.ndarray:
-    """By order and by magnitude of a context's count in the block: tokens seen after such
-    contexts, and those seen once there."""
+def singletons(found: Grams, counts: list[np.ndarray]) -> np.ndarray:
+    """By order and by magnitude of a context's count in the corpus: the block's training tokens
+    after such contexts, and those of them that the corpus holds once there. A token that is
+    alone in the corpus is in one block, so the sums over blocks do not depend on the blocks."""
     out = np.zeros((len(found.keys), BINS, 2), np.int64)
     for k in range(1, len(found.keys)):
         seen = found.counts[k] > 0
-        context = contexts(found, k)[seen]
-        count = found.counts[k][seen]
-        size = np.bincount(context, weights=count)
-        single = np.bincount(context, weights=count == 1)
-        used = size > 0
-        bins = np.log2(size[used]).astype(int)
-        out[k, :, 0] = np.bincount(bins, weights=size[used], minlength=BINS)[:BINS]
-        out[k, :, 1] = np.bincount(bins, weights=single[used], minlength=BINS)[:BINS]
+        bins = np.log2(counts[k - 1][contexts(found, k)[seen]]).astype(int)
+        out[k, :, 0] = np.bincount(bins, weights=found.counts[k][seen], minlength=BINS)[:BINS]
+        out[k, :, 1] = np.bincount(bins, weights=counts[k][seen] == 1, minlength=BINS)[:BINS]
     return out
 
 
@@ -103,8 +106,8 @@ def escape_curve(histogram: np.ndarray) -> np.ndarray:
     """Probability that a context's next token is new there, by magnitude of its count.
 
     Leave-one-out: of a context with one token taken away, the token taken is new with the
-    share of singletons. Where counts exceed those within blocks the curve goes on as the power
-    law of its last magnitudes.
+    share of singletons. Beyond the magnitudes with enough tokens the curve goes on as the power
+    law of its last ones.
     """
     curve = np.full(histogram.shape[:2], 0.5)
     for k in range(1, len(histogram)):
@@ -225,7 +228,7 @@ def _requests(texts: list[str], train: list[bool], block: int, order: int, bucke
     w_counts = found.counts[0][w_order]
     g_counts = np.concatenate(found.counts[1:])[g_order] if order > 1 else np.zeros(0, np.int64)
     low, high = (g_keys & np.uint64(0xFFFFFFFF)).astype("<u4"), (g_keys >> np.uint64(32)).astype(np.uint8)
-    rows = [(block, -1, singletons(found).astype("<i8").tobytes(), *[b""] * 6)]
+    rows = []
     for b in range(buckets):
         w, g = slice(w_cuts[b], w_cuts[b + 1]), slice(g_cuts[b], g_cuts[b + 1])
         if w.stop > w.start or g.stop > g.start:
@@ -237,9 +240,6 @@ def _requests(texts: list[str], train: list[bool], block: int, order: int, bucke
 
 def _answers(bucket: int, rows: list[dict], order: int) -> pa.RecordBatch:
     """Corpus counts for every request of a bucket, and the bucket's totals (block -1)."""
-    if bucket < 0:
-        total = sum(np.frombuffer(r["words"], "<i8") for r in rows)
-        return _batch(REPLY, [(-2, -1, total.astype("<i8").tobytes(), b"", b"", b"")])
     words = [np.frombuffer(r["words"], "<u8") for r in rows]
     longer = [
         np.frombuffer(r["low"], "<u4").astype(np.uint64) | (np.frombuffer(r["high"], np.uint8).astype(np.uint64) << np.uint64(32))
@@ -247,7 +247,7 @@ def _answers(bucket: int, rows: list[dict], order: int) -> pa.RecordBatch:
     ]
 
     def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        distinct, inverse = distincts(np.concatenate(keys))
         total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
         return distinct, total, np.split(total[inverse], np.cumsum([len(k) for k in keys])[:-1])
 
@@ -281,11 +281,9 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
 RESULT = "train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scored(
-    held: list[dict], order: int, buckets: int, tokens: int, kinds: int, curve: np.ndarray, id_col: str, id_type: pa.DataType
-) -> pa.RecordBatch:
-    """Scores of a block's texts, which stand before the answers to its questions. What the
-    block builds is freed on return, before the next block is read."""
+def _answered(held: list[dict], order: int, buckets: int) -> tuple[list[dict], Grams, list[np.ndarray]]:
+    """A block's texts, which stand before the answers to its questions, their n-grams and the
+    corpus counts of these."""
     replies = [r for r in held if r["bucket"] is not None]
     own = [r for r in held if r["bucket"] is None]
     found = grams([r["text"] for r in own], np.array([r["train"] for r in own]), order)
@@ -294,12 +292,19 @@ def _scored(
     if replies:
         w[w_order] = np.concatenate([_unpacked(r["wn"], r["wx"]) for r in replies])
         g[g_order] = np.concatenate([_unpacked(r["gn"], r["gx"]) for r in replies])
-    del w_order, g_order, replies
-    counts = [w, *np.split(g, np.cumsum([len(k) for k in found.keys[1:]])[:-1])] if order > 1 else [w]
+    return own, found, [w, *np.split(g, np.cumsum([len(k) for k in found.keys[1:]])[:-1])] if order > 1 else [w]
+
+
+def _scored(
+    held: list[dict], order: int, buckets: int, tokens: int, kinds: int, curve: np.ndarray, id_col: str, id_type: pa.DataType
+) -> pa.RecordBatch:
+    """Scores of a block's texts. What the block builds is freed on return, before the next
+    block is read."""
+    own, found, counts = _answered(held, order, buckets)
     automaton = Automaton(found, counts, tokens, kinds, curve)
     logs = automaton.traverse(found)
     base = np.where(found.predicted, automaton.log[0][found.ids[0]], 0.0)
-    seen = found.predicted & (w[found.ids[0]] > 0)
+    seen = found.predicted & (counts[0][found.ids[0]] > 0)
     n = len(own)
     return pa.RecordBatch.from_arrays(
         [
@@ -358,13 +363,22 @@ def score(
     asked = rows.drop("id").repartition("block").sortWithinPartitions("block").mapInArrow(ask, REQUEST)
     answered = park(asked.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(answer, REPLY))
     tokens = kinds = 0
-    histogram = np.zeros((order, BINS, 2), np.int64)
-    for r in answered.where("block < 0").select("block", "wn").toLocalIterator():
+    for r in answered.where("block < 0").select("wn").toLocalIterator():
         values = np.frombuffer(r.wn, "<i8")
-        if r.block == -1:
-            tokens, kinds = tokens + int(values[0]), kinds + int(values[1])
-        else:
-            histogram += values.reshape(histogram.shape)
+        tokens, kinds = tokens + int(values[0]), kinds + int(values[1])
+    both = rows.unionByName(answered.where("block >= 0"), allowMissingColumns=True)
+    both = both.repartition("block").sortWithinPartitions("block", "bucket")
+
+    def census(batches):
+        total = np.zeros((order, BINS, 2), np.int64)
+        for _, held in _groups(batches, "block"):
+            total += singletons(*_answered(held, order, buckets)[1:])
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["counted"])
+
+    histogram = np.zeros((order, BINS, 2), np.int64)
+    if order > 1:
+        for r in park(both.mapInArrow(census, "counted binary")).toLocalIterator():
+            histogram += np.frombuffer(r.counted, "<i8").reshape(histogram.shape)
     curve = escape_curve(histogram)
     kind = docs.schema[id_col].dataType
 
@@ -375,6 +389,4 @@ def score(
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(kind)
-    both = rows.unionByName(answered.where("block >= 0"), allowMissingColumns=True)
-    both = both.repartition("block").sortWithinPartitions("block", "bucket")
     return both.mapInArrow(evaluate, f"`{id_col}` {kind.simpleString()}, {RESULT}")

@@ -81,6 +81,16 @@ def test_scores_equal_brute_force_over_many_blocks_and_buckets(spark, order, mon
     same(found, want)
 
 
+@cases.needs_data
+def test_scores_do_not_depend_on_blocks(spark):
+    docs = spark.createDataFrame(sample(spark, 120), "doc_id long, text string, train boolean")
+    one, many = (
+        sorted(map(tuple, lm.score(docs, F.col("train"), block_bytes=size).collect())) for size in (8 << 20, 10_000)
+    )
+    assert one and [r[:5] for r in one] == [r[:5] for r in many]
+    assert [r[5:] for r in many] == [pytest.approx(r[5:], rel=1e-9) for r in one]
+
+
 def test_odd_rows(spark, monkeypatch):
     rows = [(i, t, k % 3 != 0) for k, (i, t) in enumerate(cases.ODD)]
     found, want = scored(spark, rows, 3, monkeypatch)
