@@ -58,8 +58,8 @@ def op4_bpe(spark, sf_dir):
 
 @query
 def op5_token_files(spark, sf_dir):
-    blocks, lengths = tokenbin.write(documents(spark, sf_dir), TOKENIZER, end_id=END)
-    return tokenbin.read(blocks, lengths)
+    blocks, _ = tokenbin.write(documents(spark, sf_dir), TOKENIZER, end_id=END)
+    return tokenbin.read(blocks)
 
 
 @query

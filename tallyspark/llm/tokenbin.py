@@ -166,7 +166,7 @@ def id_counts(tokens: DataFrame, width: int, vocabulary: int) -> np.ndarray:
     return out
 
 
-SCHEMA = "range int, start long, docs array<long>, counts array<long>, n long, marks binary, bits binary"
+SCHEMA = "range int, start long, docs array<long>, counts array<long>, n long, marks binary, bits binary, code binary"
 
 
 def blocks_of(tokens: DataFrame, width: int, lengths: np.ndarray) -> DataFrame:
@@ -182,7 +182,7 @@ def blocks_of(tokens: DataFrame, width: int, lengths: np.ndarray) -> DataFrame:
             docs, ids = zip(*held)
             stream = np.concatenate(ids)
             bits, marks = compress(stream, codes, sizes)
-            values = [part, start, list(docs), [len(x) for x in ids], len(stream), marks.tobytes(), bits]
+            values = [part, start, list(docs), [len(x) for x in ids], len(stream), marks.tobytes(), bits, sizes.astype(np.uint8).tobytes()]
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names
             )
@@ -200,8 +200,8 @@ def blocks_of(tokens: DataFrame, width: int, lengths: np.ndarray) -> DataFrame:
             yield block()
 
     longs = pa.list_(pa.int64())
-    kinds = [pa.int32(), pa.int64(), longs, longs, pa.int64(), pa.binary(), pa.binary()]
-    names = ["range", "start", "docs", "counts", "n", "marks", "bits"]
+    kinds = [pa.int32(), pa.int64(), longs, longs, pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["range", "start", "docs", "counts", "n", "marks", "bits", "code"]
     return tokens.select("id", "ids", "range", "start").mapInArrow(run, SCHEMA)
 
 
@@ -211,7 +211,8 @@ def write(
     """Encode ``docs`` and write the files in ascending id order: the block table, in
     ``target`` or the shared checkpoint folder.
 
-    Returns the table as written and the code lengths of all ids. Ids must be integers. A null
+    Returns the table as written and the code lengths of all ids, which each block holds too
+    (one byte an id; equal values share one dictionary entry of a file). Ids must be integers. A null
     or empty text is its end id alone; a null id sorts first; repeated rows are written one by
     one; an empty table gives no blocks; other columns are not read. A document is never split
     over blocks; a block holds about ``BLOCK`` tokens, or one longer document.
@@ -227,10 +228,12 @@ def write(
     return docs.sparkSession.read.parquet(target), lengths
 
 
-def read(blocks: DataFrame, lengths: np.ndarray, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
+def read(blocks: DataFrame, lengths: np.ndarray | None = None, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document from the written files, with the
     ids themselves as little-endian unsigned 32-bit integers on demand.
 
+    Code lengths come from the files unless they are given.
+
     The driver holds one total per range, a number set by the partitioning.
     """
     spark = blocks.sparkSession
@@ -243,9 +246,11 @@ def read(blocks: DataFrame, lengths: np.ndarray, id_col: str = "doc_id", with_id
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         sizes, offset = known.value
-        table = decoding_table(sizes)
+        last, table = None, None if sizes is None else decoding_table(sizes)
         for batch in batches:
-            for part, start, docs, counts, n, marks, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, start, docs, counts, n, marks, bits, code in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if sizes is None and code != last:
+                    last, table = code, decoding_table(np.frombuffer(code, np.uint8).astype(np.int64))
                 ids = decompress(bits, np.frombuffer(marks, "<u8"), n, table).astype("<u4")
                 ends = np.cumsum(counts)
                 each = [ids[end - size : end] for end, size in zip(ends, counts, strict=True)]
@@ -262,4 +267,5 @@ def read(blocks: DataFrame, lengths: np.ndarray, id_col: str = "doc_id", with_id
     names = [id_col, "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
     schema = f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     columns = ["range", "start", "docs", "counts", "n", "marks", "bits"]
+    columns.append("code" if lengths is None else F.lit(None).cast("binary").alias("code"))
     return blocks.select(*columns).mapInArrow(run, schema)

@@ -81,6 +81,13 @@ def test_odd_rows_in_many_small_blocks(spark, library, monkeypatch):
     assert tokenbin.read(blocks, lengths).count() == 0
 
 
+def test_files_are_read_without_what_the_writer_held(spark, library, tmp_path):
+    tokenbin.write(cases.odd(spark), PATH, str(tmp_path / "files"))
+    found = tokenbin.read(spark.read.parquet(str(tmp_path / "files"))).collect()
+    mine = sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found), key=lambda r: r[1])
+    assert mine == expected(library, cases.ODD)
+
+
 @cases.needs_data
 def test_query(spark, library):
     from tallyspark.llm.queries import op5_token_files
