@@ -53,3 +53,10 @@ def test_odd_rows_pass_every_filter(spark):
     for name, stage in pipeline.STAGES[1:]:
         assert stage(spark, docs, cases.DATA).count() >= 0, name
     assert packing.pack(docs, pipeline.TOKENIZER).count() > 0
+
+
+def test_only_texts_emptied_by_the_stage_go(spark):
+    docs = cases.odd(spark, extra=False)
+    left = dict(pipeline.STAGES)["substring_dedup"](spark, docs, cases.DATA).collect()
+    assert {1: None, 2: ""}.items() <= {r.doc_id: r.text for r in left}.items()
+    assert sorted(str(r.doc_id) for r in left) == sorted(str(i) for i, _ in cases.ODD if i != 9)
