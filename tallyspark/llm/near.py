@@ -257,8 +257,11 @@ def near_duplicates(
     Ids must be integers. Null, empty and word-less texts are linked with nothing; so are rows
     without an id (component null, kept); rows that repeat an id are one document with all
     their texts and share its component; texts of any length are compared whole; an empty
-    table gives no rows; other columns are not read.
+    table gives no rows; other columns are not read. Bands and sketches are made for 80 percent
+    and more; a smaller ``percent`` is refused.
     """
+    if percent < PERCENT:
+        raise ValueError(f"percent must be at least {PERCENT}: the bands miss links below it")
     found = park(signatures(docs, id_col, text_col, size))
     full = found.where("id IS NOT NULL AND n > 0")
     classes = park(full.groupBy("high", "low").agg(F.min("id").alias("node")))

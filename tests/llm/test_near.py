@@ -56,6 +56,11 @@ def brute(rows, size, percent):
     return sorted(out, key=str)
 
 
+def test_a_percent_that_the_bands_do_not_cover_is_refused(spark):
+    with pytest.raises(ValueError, match="at least 80"):
+        near.near_duplicates(cases.empty(spark), percent=50)
+
+
 def check(spark, rows, size=5, percent=80):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = near.near_duplicates(docs, size=size, percent=percent).collect()
