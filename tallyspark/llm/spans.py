@@ -27,7 +27,8 @@ def cuts(words: list[str], longest: int = LONGEST) -> list[int]:
     In every window of ``longest`` words the pair of words with the least hash is followed by a
     cut, so cuts inside a passage depend on its own words and are the same in all its copies,
     from the first ``longest`` words of the passage to the last. Where equal pairs share the
-    least hash, the one already cut after stays, so that one repeated word is cut seldom.
+    least hash, the one already cut after stays, so that one repeated word is cut seldom; there
+    copies may be cut alike only later.
     """
     n = len(words)
     if n < longest:
