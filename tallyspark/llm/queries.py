@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprint, lm, near, packing, quality, sharding, spans, tokenbin, toxicity
+from . import bpe, fingerprint, lexical, lm, near, packing, preference, quality, sharding, spans, tokenbin, toxicity, trie
 from .common import held_out
 from .twins import ORACLE
 
@@ -92,3 +92,26 @@ def op9_packing(spark, sf_dir):
 def op10_sharding(spark, sf_dir):
     placed = sharding.shard(documents(spark, sf_dir), SHARDS)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op11_quality_classifier(spark, sf_dir):
+    docs, out = documents(spark, sf_dir), held_out("doc_id", 4, 2)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~out)
+    model = preference.train(docs, labels, cut=0.7)
+    scored = preference.score(docs, model)
+    return scored.select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= model.cut).cast("int").alias("predicted")
+    )
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    turns = trie.ranked(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return trie.nodes(*trie.shared_heads(turns))
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.search(documents(spark, sf_dir), items, k=20)
