@@ -1,0 +1,155 @@
+import hashlib
+import heapq
+import random
+import re
+import zlib
+
+import pytest
+
+from tallyspark.llm import trie
+
+from . import cases
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(convs):
+    """Nodes of ``{id: [(role, text), ...]}`` from the sequences themselves."""
+    members, kids = {}, {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    for node in members:
+        if node:
+            kids.setdefault(node[:-1], []).append(node)
+    leaves, saved, out = {}, {}, set()
+    for node in sorted(members, key=len, reverse=True):
+        below = kids.get(node, [])
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1])) if node else 0
+        leaves[node] = sum(leaves[k] for k in below) or 1
+        saved[node] = (len(members[node]) - 1) * words + sum(saved[k] for k in below)
+        ends = ",".join(str(c) for c in sorted(c for c in members[node] if len(convs[c]) == len(node)))
+        out.add(
+            (
+                min(members[node]), len(node), min(members[node[:-1]]) if node else None, len(members[node]), len(below),
+                leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return out
+
+
+def ordered(rows):
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append(((turn is not None, turn or 0), (role or "", text or "")))
+    return {c: [y for _, y in sorted(t, key=lambda y: y[0])] for c, t in convs.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        out[c] = convs.get(c - c % 20, [])[:h] + turns[h:]
+    return out
+
+
+def same(found, want):
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == len(set(rows)) == len(want) and set(rows) == want
+
+
+def some(n, seed, words=3, long=7):
+    """Conversations over few words, so that prefixes are shared; ids with gaps."""
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(3 * n), n):
+        for turn in range(rng.randrange(1, long)):
+            rows.append((c, turn, rng.choice(["user", "bot"]), " ".join(["hi"] * rng.randrange(words))))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("light,most", [(64, 1000), (1, 2), (5, 7)])
+def test_nodes_against_brute_force(spark, light, most):
+    rows = some(150, 1)
+    placed = trie.ranked(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    turns = placed.drop("last"), placed.where("last").select("conv")
+    same(trie.nodes(*turns, light=light, most=most), brute(ordered(rows)))
+
+
+def test_shared_heads_against_brute_force(spark):
+    rows = some(200, 2) + [(c, 0, "user", "same") for c in range(1000, 1012)]
+    rows += [(20 * c, None, None, None) for c in range(40, 50)]
+    turns = trie.ranked(spark.createDataFrame(rows, SCHEMA))
+    want = rebuilt(ordered(rows))
+    assert any(not t for t in want.values())  # conversations without turns end at the root
+    same(trie.nodes(*trie.shared_heads(turns), light=8), brute(want))
+
+
+def test_a_conversation_and_a_first_turn_with_a_third_of_all_rows(spark):
+    rows = [(1, t, "user", f"turn {t}") for t in range(400)] + [(2, t, "user", f"turn {t}") for t in range(390)]
+    rows += [(c, 0, "user", "hello") for c in range(10, 400)] + [(c, 1, "bot", f"x {c % 7}") for c in range(10, 400)]
+    same(trie.trie(spark.createDataFrame(rows, SCHEMA)), brute(ordered(rows)))
+
+
+def test_one_row_repeated_many_times_is_spread(spark):
+    rows = [(1, 5, "user", "again")] * 300 + [(1, 6, "user", "end"), (2, 5, "user", "again")]
+    found = trie.ranked(spark.createDataFrame(rows, SCHEMA).repartition(2))
+    assert sorted(r.depth for r in found.where("conv = 1").collect()) == list(range(1, 302))
+    assert [(r.conv, r.depth) for r in found.where("last").orderBy("conv").collect()] == [(1, 301), (2, 1)]
+    same(trie.trie(spark.createDataFrame(rows, SCHEMA)), brute(ordered(rows)))
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, None, None, None), (1, 3, "user", "b"), (1, -2, "user", "a"), (2, 0, "", ""), (None, 0, "user", "lost"),
+        (3, 0, "user", "x y " * 20_000), (4, 1, "user", " \t\n"), (4, 2, "user", "é \x1c z"), (-7, 0, "user", "b"),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as conv", "'x' as depth", "2 as h1", "3 as `my col`")
+    same(trie.trie(docs), brute(ordered(rows)))
+    nothing = spark.createDataFrame([], SCHEMA)
+    assert trie.trie(nothing).count() == 0 and len(trie.trie(nothing).columns) == 8
+
+
+def test_running_sums_over_partitions(spark):
+    rows = [(g, i, (i * 7919 + g) << 40) for g in (1, 2, 3) for i in range(200 if g == 2 else 3)]
+    found = trie.running(spark.createDataFrame(rows, "g long, i long, v long"), "g", ["i"], {"s": "v"}, partitions=6)
+    total = {}
+    for r in sorted(found.collect()):
+        before = total.get(r.g, 0)
+        total[r.g] = (before + r.v) % (1 << 64)
+        assert (r.before_s % (1 << 64), r.s % (1 << 64)) == (before, total[r.g])
+        assert r.last == (r.i == (199 if r.g == 2 else 2))
+
+
+def test_the_queue_spills_and_keeps_its_order():
+    rng = random.Random(5)
+    queue, plain = trie.SpillingQueue(16), []
+    for _ in range(3000):
+        if rng.random() < 0.6 or not plain:
+            item = (rng.randrange(50), rng.randrange(50))
+            queue.push(item)
+            heapq.heappush(plain, item)
+        else:
+            assert queue.first() == plain[0] and queue.pop() == heapq.heappop(plain)
+    assert len(queue.heap) <= 16 and queue.runs
+    assert [queue.pop() for _ in range(len(plain))] == sorted(plain) and not len(queue) and queue.first() is None
+
+
+def test_digests_of_many_chunks(spark):
+    rows = [(1, 7, -7, c) for c in range(1000)] + [(2, 1, 1, 5)]
+    ends = spark.createDataFrame(rows, "depth long, k1 long, k2 long, conv long").repartition(5)
+    found = {(r.depth, r.k1, r.k2): r.sha for r in trie.ends_digests(ends, chunk=16).collect()}
+    text = ",".join(map(str, range(1000)))
+    assert found == {(1, 7, -7): hashlib.sha256(text.encode()).hexdigest(), (2, 1, 1): hashlib.sha256(b"5").hexdigest()}
+
+
+@cases.needs_data
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_query(spark, sf):
+    from tallyspark.llm.queries import op12_conversation_trie
+
+    rows = spark.read.parquet(f"/root/testdata/{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    want = brute(rebuilt(ordered([tuple(r) for r in rows.collect()])))
+    same(op12_conversation_trie(spark, f"/root/testdata/{sf}"), want)
