@@ -363,14 +363,16 @@ def nodes(turns: DataFrame, members: DataFrame, light: int = LIGHT, most: int =
         *[F.min(c).alias(c) for c in ("words", *PARENT)],
     )
     turnless = members.join(paths.where("last"), "conv", "left_anti").select("conv")
-    empty = turnless.agg(F.count("*").alias("n_ends"), F.min("conv").alias("end"))
     zero = F.lit(0).cast("long")
-    root = (
-        members.agg(F.min("conv").alias("conv_id"), F.count("*").alias("n_convs"))
-        .where("n_convs > 0")
-        .crossJoin(empty)  # two rows of sums
-        .withColumns({c: zero for c in (*KEY, *PARENT, "words")})
+    either = members.select("conv", F.lit(True).alias("all")).unionByName(turnless.select("conv", F.lit(False).alias("all")))
+    ends_here = ~F.col("all")
+    root = either.agg(
+        F.min(F.when(F.col("all"), F.col("conv"))).alias("conv_id"),
+        F.count_if("all").alias("n_convs"),
+        F.count_if(ends_here).alias("n_ends"),
+        F.min(F.when(ends_here, F.col("conv"))).alias("end"),
     )
+    root = root.where("n_convs > 0").withColumns({c: zero for c in (*KEY, *PARENT, "words")})
     found = park(grouped.unionByName(root.select(grouped.columns)))
     top = found.where("depth = 0").select("conv_id", "n_convs").collect()
     if not top:
