@@ -16,6 +16,7 @@ from ..functions.exprs import dollars, month_number, period_of, period_text
 # Months covered by each billing interval.
 INTERVAL_MONTHS = {"monthly": 1, "quarterly": 3, "annual": 12, "biennial": 24}
 BASES = ("recurring", "upfront")
+ROUNDING_LIMIT = 0.005  # dollars a month: half a cent
 
 
 def contract_months(ledger: DataFrame) -> DataFrame:
@@ -105,6 +106,15 @@ def rounding_difference(allocated: DataFrame) -> DataFrame:
     )
 
 
+def gate_metrics(limit: float = ROUNDING_LIMIT) -> list[Column]:
+    """Rows, and rows whose rounding difference exceeds ``limit`` for each month."""
+    most = F.col("contract_duration_months") * F.lit(limit) + F.lit(1e-9)
+    return [
+        F.count("*").alias("total_rows"),
+        F.count_if(F.abs("allocation_rounding_diff") > most).alias("rounding_breaches"),
+    ]
+
+
 def reconcile_expanded(expanded: DataFrame) -> DataFrame:
     """The same check on rows that are already expanded (at most 24 per group)."""
     group = Window.partitionBy("subscription_id", "billing_period")

@@ -112,7 +112,8 @@ def row_hash(columns: Sequence[str], algorithm: str = "xxhash64") -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def _fingerprint(columns: Sequence[str], algorithm: str) -> list[Column]:
+def fingerprint(columns: Sequence[str], algorithm: str = "xxhash64") -> list[Column]:
+    """Row count and order-independent checksum, as aggregates."""
     return [
         F.count("*").alias("row_count"),
         F.sum(row_hash(columns, algorithm).cast("decimal(20,0)")).alias("checksum"),
@@ -121,7 +122,7 @@ def _fingerprint(columns: Sequence[str], algorithm: str) -> list[Column]:
 
 def canary(df: DataFrame, columns: Sequence[str], algorithm: str = "xxhash64") -> DataFrame:
     """One row: row count and an order-independent checksum."""
-    return df.agg(*_fingerprint(columns, algorithm))
+    return df.agg(*fingerprint(columns, algorithm))
 
 
 def compare_canaries(
@@ -158,7 +159,7 @@ def manifest(
     """Rows and checksum per ``keys``, by default per data file of a file-backed table."""
     if keys is None:
         df, keys = df.withColumn("path", F.col("_metadata.file_path")), ["path"]
-    return df.groupBy(*keys).agg(*_fingerprint(columns, algorithm))
+    return df.groupBy(*keys).agg(*fingerprint(columns, algorithm))
 
 
 def check_manifest(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = ("path",)) -> DataFrame:

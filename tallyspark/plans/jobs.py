@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,12 +10,28 @@ from pyspark.sql.types import StructType
 
 from ..operators import alerts, allocation, anomaly, cohort, ledger, quality, retention, rfm, segment, waterfall
 from ..scratch import park
-from ..sources import readers
+from ..sources import history, readers
+from ..sources.publish import Version
 from ..sources.writers import write_json, write_table
 
 NULL_SEGMENT_LIMIT = 0.05
 
 
+def _record(
+    spark: SparkSession,
+    history_path: str | None,
+    job: str,
+    run_id: str | None,
+    written: Mapping[str, Version],
+    more: Mapping[str, float] | None = None,
+) -> None:
+    """One row for each metric of the run: the rows of each table it published, and ``more``."""
+    if history_path is None:
+        return
+    rows = {f"{table}_rows": v.row_count for table, v in written.items()}
+    history.record(spark, history_path, job, run_id, {**rows, **(more or {})})
+
+
 def ingest_job(
     spark: SparkSession,
     landing: DataFrame,
@@ -90,6 +106,7 @@ def rfm_job(
     run_id: str | None = None,
     orders_are_unique: bool = False,
     as_of: date | str | None = None,
+    history_path: str | None = None,
 ) -> DataFrame:
     """CSV orders and customers to the segments table; returns the segment distribution."""
     enriched = segment_customers(
@@ -106,7 +123,8 @@ def rfm_job(
     m = seen.get
     share = m["null_segment_rows"] / max(m["total_rows"], 1)
     quality.check(m, {"null_segment_share": share <= NULL_SEGMENT_LIMIT})
-    write_table(checked, "rfm_segments", output_path, run_id)
+    written = write_table(checked, "rfm_segments", output_path, run_id, metrics=m)
+    _record(spark, history_path, "rfm", run_id, {"rfm_segments": written}, m)
     return rfm.segment_distribution(checked)
 
 
@@ -121,6 +139,7 @@ def anomaly_job(
     generated_at: datetime | None = None,
     run_id: str | None = None,
     route_path: str | None = None,
+    history_path: str | None = None,
 ) -> DataFrame:
     """Daily revenue and the segments table to the alerts table; returns the alert summary.
 
@@ -139,9 +158,11 @@ def anomaly_job(
     m = seen.get
     rate = m["anomaly_rows"] / max(m["total_rows"], 1)
     quality.check(m, {"anomaly_rate": rate <= anomaly.ALERT_RATE_LIMIT}, on_fail="warn")
-    write_table(found, "revenue_alerts", output_path, run_id)
+    written = {"revenue_alerts": write_table(found, "revenue_alerts", output_path, run_id, metrics=m)}
     if route_path is not None:
-        write_table(alerts.escalation_route(found), "escalation_route", route_path, run_id)
+        route = alerts.escalation_route(found)
+        written["escalation_route"] = write_table(route, "escalation_route", route_path, run_id)
+    _record(spark, history_path, "anomaly", run_id, written, m)
     return anomaly.alert_summary(found)
 
 
@@ -155,6 +176,7 @@ def segment_job(
     payload_path: str | None = None,
     summary_path: str | None = None,
     run_id: str | None = None,
+    history_path: str | None = None,
 ) -> DataFrame:
     """Daily revenue to segment totals and the scored performance report; returns the latter.
 
@@ -162,24 +184,21 @@ def segment_job(
     of the period; both are kept by report date.
     """
     daily = segment.daily_series(readers.daily_revenue(spark, revenue_path))
-    write_table(
-        segment.segment_totals(segment.flag_spikes(segment.rolling_week(daily))),
-        "segment_totals",
-        totals_path,
-        run_id,
-    )
+    totals = segment.segment_totals(segment.flag_spikes(segment.rolling_week(daily)))
+    tables = {"segment_totals": write_table(totals, "segment_totals", totals_path, run_id)}
     scored = segment.threshold_scores(
         segment.week_over_week(segment.revenue_zscore(segment.rolling_stats(daily)))
     )
     report = segment.performance_report(scored, report_date)
-    write_table(report, "performance_report", report_path, run_id)
+    tables["performance_report"] = write_table(report, "performance_report", report_path, run_id)
     stamp = F.lit(report_date).cast("date").alias("report_date")
     if payload_path is not None:
         payloads = alerts.alert_payloads(scored, report_date)
-        write_table(payloads.select("*", stamp), "alert_payloads", payload_path, run_id)
+        tables["alert_payloads"] = write_table(payloads.select("*", stamp), "alert_payloads", payload_path, run_id)
     if summary_path is not None:
         summary = segment.summary_stats(scored)
-        write_table(summary.select("*", stamp), "report_summary", summary_path, run_id)
+        tables["report_summary"] = write_table(summary.select("*", stamp), "report_summary", summary_path, run_id)
+    _record(spark, history_path, "segment", run_id, tables)
     written = readers.read_table(spark, report_path, run_id=run_id)
     written = written.where(F.col("report_date") == F.lit(report_date).cast("date")).select(*report.columns)
     if json_path is not None:
@@ -194,13 +213,15 @@ def ledger_job(
     metadata_path: str | None = None,
     keep: str = "first",
     run_id: str | None = None,
+    history_path: str | None = None,
 ) -> None:
     rows = ledger.mrr_ledger(
         readers.billing_events(spark, events_path),
         readers.account_metadata(spark, metadata_path),
         keep,
     )
-    write_table(rows, "mrr_events", output_path, run_id)
+    written = write_table(rows, "mrr_events", output_path, run_id)
+    _record(spark, history_path, "ledger", run_id, {"mrr_events": written})
 
 
 def cohort_job(
@@ -210,11 +231,13 @@ def cohort_job(
     dims: Sequence[str] = cohort.DIMENSIONS,
     densify: bool = True,
     run_id: str | None = None,
+    history_path: str | None = None,
 ) -> None:
     rows = readers.read_table(spark, ledger_path)
     if "cohort_month" not in rows.columns:
         rows = cohort.cohort_key(rows)
-    write_table(cohort.build_matrix(rows, dims, densify), "cohort_arr_matrix", output_path, run_id)
+    written = write_table(cohort.build_matrix(rows, dims, densify), "cohort_arr_matrix", output_path, run_id)
+    _record(spark, history_path, "cohort", run_id, {"cohort_arr_matrix": written})
 
 
 def allocation_job(
@@ -224,15 +247,23 @@ def allocation_job(
     as_of: date | str,
     schedule_path: str | None = None,
     contract_value_basis: str = "recurring",
+    rounding_limit: float = allocation.ROUNDING_LIMIT,
     run_id: str | None = None,
+    history_path: str | None = None,
 ) -> None:
+    """Ledger and contracts to allocated months. The gate warns where rounding to whole cents
+    moves a row by more than ``rounding_limit`` for each month."""
     allocated = allocation.allocate_revenue(
         readers.read_table(spark, ledger_path),
         as_of,
         readers.contract_schedule(spark, schedule_path),
         contract_value_basis,
     )
-    write_table(allocated, "allocated_revenue", output_path, run_id, allow_missing=True)
+    watched, seen = quality.observed(allocated, "allocation_gate", allocation.gate_metrics(rounding_limit))
+    written = write_table(watched, "allocated_revenue", output_path, run_id, allow_missing=True)
+    m = seen.get
+    quality.check(m, {"allocation_rounding": not m.get("rounding_breaches")}, on_fail="warn")
+    _record(spark, history_path, "allocation", run_id, {"allocated_revenue": written}, m)
 
 
 def retention_job(
@@ -243,6 +274,7 @@ def retention_job(
     dims: Sequence[str] = cohort.DIMENSIONS,
     min_accounts: int = retention.MIN_ACCOUNTS,
     run_id: str | None = None,
+    history_path: str | None = None,
 ) -> DataFrame:
     """Writes the retention table; returns its rows with an implausible NRR."""
     metrics = retention.retention_metrics(
@@ -251,10 +283,11 @@ def retention_job(
         dims,
         min_accounts,
     )
-    write_table(metrics, "nrr_metrics", output_path, run_id, allow_missing=True)
+    written = write_table(metrics, "nrr_metrics", output_path, run_id, allow_missing=True)
     odd = retention.implausible_nrr(readers.read_table(spark, output_path, run_id=run_id))
     count = odd.count()
     quality.check({"implausible_rows": count}, {"plausible_nrr": count == 0}, on_fail="warn")
+    _record(spark, history_path, "retention", run_id, {"nrr_metrics": written}, {"implausible_rows": count})
     return odd
 
 
@@ -267,6 +300,7 @@ def waterfall_job(
     tolerance: float = waterfall.TOLERANCE,
     with_neutral: bool = True,
     run_id: str | None = None,
+    history_path: str | None = None,
 ) -> None:
     """Writes the waterfall only when it reconciles; neutral movements (pauses, changes without
     growth) count as disclosed unless ``with_neutral`` is off."""
@@ -276,4 +310,5 @@ def waterfall_job(
         )
     )
     waterfall.require_reconciled(built, tolerance, with_neutral)
-    write_table(built, "arr_waterfall", output_path, run_id)
+    written = write_table(built, "arr_waterfall", output_path, run_id)
+    _record(spark, history_path, "waterfall", run_id, {"arr_waterfall": written})

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..operators.quality import Aliases, conform
+from . import publish
 
 
 def read_csv(
@@ -49,9 +48,12 @@ def segment_revenue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def last_run(stored: DataFrame) -> str:
-    """The last run by name, from the folders: the column may be read as a number or a date."""
-    folders = (re.search(r"/run_id=([^/]+)/", unquote(file)) for file in stored.inputFiles())
-    return max(found[1] for found in folders if found)
+    """The run whose files were written last, from its folders: the column may be read as a
+    number or a date."""
+    changed = stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"))
+    last = changed.groupBy("file").agg(F.max("at").alias("at"))
+    run = F.url_decode(F.regexp_extract("file", "/run_id=([^/]+)/", 1))
+    return last.where("file LIKE '%/run_id=%'").agg(F.max_by(run, F.struct("at", run.alias("run")))).first()[0]
 
 
 def read_table(
@@ -62,19 +64,19 @@ def read_table(
     period_column: str = "billing_period",
     run_id: str | None = None,
 ) -> DataFrame:
-    """Parquet, with ``periods`` read from their directories only. Of a table that holds runs,
-    one is read: ``run_id``, or the last by name.
+    """The rows of a published table, the last version or the last of ``run_id``, or of a plain
+    Parquet folder; ``periods`` are read from their directories only.
 
     Period directories look like dates; they are kept as text whatever the session infers.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
-    stored = df if schema is None else spark.read.parquet(path)
-    if "run_id" in stored.columns:
-        chosen = run_id if run_id is not None else last_run(stored)
-        df = reader.option("basePath", path).parquet(f"{path}/run_id={chosen}").drop("run_id")
-    elif run_id is not None:
-        raise ValueError(f"{path} holds no runs")
+    if publish.is_published(spark, path):
+        df = publish.read(spark, path, run_id=run_id)
+        if schema is not None:
+            df = conform(df, schema)
+    else:
+        if run_id is not None:
+            raise ValueError(f"{path} holds no runs")
+        df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     for name in ("billing_period", "allocated_period", "cohort_month"):
         if name in df.columns and df.schema[name].dataType.typeName() != "string":
             df = df.withColumn(name, F.date_format(F.col(name), "yyyy-MM"))

@@ -2,18 +2,20 @@
 
 A snapshot table, which its job recomputes in full, is replaced as a whole, so a rerun leaves
 no row of a partition that it no longer fills. Other partitioned tables replace only the
-partitions they write. With ``run_id`` each run has its own folder, so that runs cannot collide
-and a rerun replaces itself; ``readers.read_table`` chooses one run.
+partitions they write. Every write is a new version (``publish``): it is seen whole or not at
+all, and the version before it stays readable. With ``run_id`` a version holds that run alone;
+``readers.read_table`` reads the last version, or the last of a run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from .. import schemas
+from .publish import Version, publish
 
 
 @dataclass(frozen=True)
@@ -50,8 +52,9 @@ def write_table(
     path: str,
     run_id: str | None = None,
     allow_missing: bool = False,
-) -> None:
-    """Write ``df`` as the named table.
+    metrics: Mapping[str, float] | None = None,
+) -> Version:
+    """Publish ``df`` as the next version of the named table.
 
     Rows are rebalanced by partition value before the write: adaptive execution then
     splits the files of a large partition over tasks and joins those of small ones.
@@ -64,13 +67,8 @@ def write_table(
         df = df.coalesce(table.files)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
-    if run_id is not None:
-        path = f"{path}/run_id={run_id}"
-    writer = df.write.mode("overwrite").option("compression", "snappy")
-    if partition_by:
-        whole = table.snapshot or run_id is not None
-        writer = writer.option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    whole = table.snapshot or run_id is not None or not partition_by
+    return publish(df, path, partition_by, "all" if whole else "partitions", run_id, metrics)
 
 
 def write_json(df: DataFrame, path: str) -> None:
