@@ -39,14 +39,18 @@ def monthly_allocation(terms: DataFrame) -> DataFrame:
 
 
 def expand_months(allocated: DataFrame) -> DataFrame:
-    """One row per allocated month, with the months elapsed since the billing period."""
+    """One row per allocated month, with the months elapsed since the billing period and the
+    contract terms of the month, where there are any."""
     offsets = F.sequence(F.lit(0), F.col("contract_duration_months") - 1)
-    return (
+    month = F.col("first_month") + F.col("months_elapsed")
+    expanded = (
         allocated.withColumn("first_month", month_number("billing_period"))
         .select("*", F.explode(offsets).alias("months_elapsed"))
-        .withColumn("allocated_period", period_text(F.col("first_month") + F.col("months_elapsed")))
-        .drop("first_month")
+        .withColumn("allocated_period", period_text(month))
     )
+    if "contract_coming" in expanded.columns:
+        expanded = _terms_of_month(expanded, month)
+    return expanded.drop("first_month")
 
 
 def deferred_balance(expanded: DataFrame, contract_value_basis: str = "recurring") -> DataFrame:
@@ -125,17 +129,56 @@ def reconcile_expanded(expanded: DataFrame) -> DataFrame:
     )
 
 
-def contract_terms(ledger: DataFrame, schedule: DataFrame) -> DataFrame:
-    """Left join of the latest contract per subscription; duplicates cannot fan out."""
-    terms = F.struct("contract_arr_cents", "auto_renew", "contract_end")
-    latest = (
-        schedule.groupBy("subscription_id")
-        .agg(F.max_by(terms, F.struct("contract_start", "contract_end", "contract_arr_cents")).alias("t"))
-        .select(
-            "subscription_id", "t.*", period_of("t.contract_end").alias("contract_end_period")
-        )
+TERM = ("contract_arr_cents", "auto_renew", "contract_end")
+
+
+def contract_terms(
+    ledger: DataFrame, schedule: DataFrame, horizon: int = max(INTERVAL_MONTHS.values())
+) -> DataFrame:
+    """Each ledger row with the contract in force in its billing month, and those that start in
+    the months after it, within ``horizon`` months (``contract_coming``, by month).
+
+    A contract is in force from the month of its start until another one starts; months after
+    its end are outside it. Before the first contract there are no terms; a contract without a
+    start is in force from the beginning. Of several that start in one month the last by start,
+    end and value counts.
+
+    Terms and ledger rows are sorted together by month, so there is no range join: the last
+    terms are carried forward, and a window holds the months of one subscription.
+    """
+    started = F.coalesce(month_number(period_of("contract_start")), F.lit(0))
+    terms = (
+        schedule.filter(F.col("subscription_id").isNotNull())
+        .groupBy("subscription_id", started.alias("month"))
+        .agg(F.max_by(F.struct(*TERM), F.struct("contract_start", "contract_end", "contract_arr_cents")).alias("t"))
+        .select("subscription_id", F.col("month").alias("__month"), F.struct("month", "t.*").alias("__term"))
+    )
+    rows = ledger.withColumns({"__month": month_number("billing_period"), "__row": F.lit(True)})
+    months = Window.partitionBy("subscription_id").orderBy("__month")
+    past, next_months = months.rangeBetween(Window.unboundedPreceding, 0), months.rangeBetween(1, max(horizon - 1, 1))
+    both = rows.unionByName(terms, allowMissingColumns=True).withColumns(
+        {
+            "__now": F.last("__term", ignorenulls=True).over(past),
+            "contract_coming": F.collect_list("__term").over(next_months),
+        }
     )
-    return ledger.join(latest, "subscription_id", "left")
+    return both.filter("__row").select(
+        *[f"`{c}`" for c in ledger.columns],
+        *[F.col(f"__now.{c}").alias(c) for c in TERM],
+        period_of("__now.contract_end").alias("contract_end_period"),
+        "contract_coming",
+    )
+
+
+def _terms_of_month(expanded: DataFrame, month: Column) -> DataFrame:
+    """The terms in force in the allocated month instead of those of the billing month."""
+    later = F.filter("contract_coming", lambda t: t["month"] <= month)
+    expanded = expanded.withColumn("__later", F.try_element_at(later, F.lit(-1)))
+    own = {
+        c: F.when(F.col("__later").isNotNull(), F.col(f"__later.{c}")).otherwise(F.col(c)) for c in TERM
+    }
+    expanded = expanded.withColumns(own).drop("__later", "contract_coming")
+    return expanded.withColumn("contract_end_period", period_of("contract_end"))
 
 
 def allocate_revenue(

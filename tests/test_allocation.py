@@ -118,3 +118,46 @@ def test_allocation_without_schedule_never_shuffles(spark, capsys):
     allocation.allocate_revenue(df, "2024-03-01").explain()
     plan = capsys.readouterr().out
     assert "Generate explode" in plan and "Exchange" not in plan
+
+
+SCHEDULE = (
+    "subscription_id string, contract_start date, contract_end date, contract_arr_cents bigint,"
+    " billing_interval string, auto_renew string"
+)
+
+
+def test_each_month_has_the_contract_in_force(frame):
+    """Two contracts with a gap: the months between them are beyond the first."""
+    ledger = frame(
+        "subscription_id string, billing_period string, billing_interval string, closing_mrr_dollars double, v int",
+        ("s", "2023-05", "annual", 12.0, 1), ("s", "2022-11", "monthly", 5.0, 2), ("s", "2024-03", "monthly", 5.0, 3),
+        ("none", "2023-05", "monthly", 5.0, 4), ("open", "2023-05", "quarterly", 3.0, 5),
+    )
+    schedule = frame(
+        SCHEDULE,
+        ("s", date(2023, 1, 1), date(2023, 6, 30), 100, "annual", "N"),
+        ("s", date(2024, 1, 1), date(2024, 2, 28), 300, "annual", "Y"),
+        ("s", date(2024, 1, 15), date(2024, 12, 31), 250, "annual", "N"),  # the later of two in one month
+        ("s", date(2026, 1, 1), None, 999, "annual", "N"),
+        ("open", None, None, 7, "monthly", "N"), ("open", date(2023, 7, 1), date(2023, 7, 31), 8, "monthly", "Y"),
+        ("other", date(2023, 1, 1), None, 1, "monthly", "N"), (None, date(2023, 1, 1), None, 1, "monthly", "N"),
+    )
+    got = by(allocation.allocate_revenue(ledger, "2023-09-10", schedule), "subscription_id", "billing_period", "allocated_period")
+    assert len(got) == 12 + 1 + 1 + 1 + 3 and {r["v"] for r in got.values()} == {1, 2, 3, 4, 5}
+    status = {p: (r["contract_arr_cents"], r["recognition_status"]) for (s, b, p), r in got.items() if b == "2023-05" and s == "s"}
+    assert status["2023-05"] == status["2023-06"] == (100, "recognised")
+    assert {status[f"2023-{m:02d}"] for m in range(7, 13)} == {(100, "beyond_contract")}
+    assert {status[f"2024-{m:02d}"] for m in range(1, 5)} == {(250, "future")}
+    assert got["s", "2022-11", "2022-11"]["contract_arr_cents"] is None  # before the first contract
+    assert got["s", "2022-11", "2022-11"]["recognition_status"] == "recognised"
+    assert got["s", "2024-03", "2024-03"]["contract_end"] == date(2024, 12, 31)
+    assert got["none", "2023-05", "2023-05"]["recognition_status"] == "recognised"
+    assert [got["open", "2023-05", f"2023-0{m}"]["contract_arr_cents"] for m in (5, 6, 7)] == [7, 7, 8]
+
+
+def test_a_contract_that_ends_before_the_billing_month(frame):
+    ledger = frame("subscription_id string, billing_period string, billing_interval string, closing_mrr_dollars double",
+                   ("s", "2023-05", "monthly", 12.0))
+    schedule = frame(SCHEDULE, ("s", date(2022, 1, 1), date(2022, 12, 31), 100, "annual", "N"))
+    row = allocation.allocate_revenue(ledger, "2023-09-10", schedule).first()
+    assert row.recognition_status == "beyond_contract" and row.contract_end_period == "2022-12"
