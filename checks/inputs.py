@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tallyspark.functions.exprs import total, units
+from tallyspark.scratch import shared_folder
 
 AS_OF = "1998-06-15"
 RUN_ID = "run-1"
@@ -229,6 +232,56 @@ def contract_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def contract_renewals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A contract of eight months for each subscription and year with orders, from the first one."""
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(
+            (F.col("o_custkey") * 10 + F.col("o_orderkey") % 2).alias("subscription_id"),
+            F.year("o_orderdate").alias("year"),
+        )
+        .agg(
+            F.to_date(F.min("o_orderdate")).alias("contract_start"),
+            (F.max(F.floor("o_totalprice")) * 12).alias("contract_arr_cents"),
+        )
+        .select(
+            "subscription_id",
+            "contract_start",
+            F.add_months("contract_start", 8).alias("contract_end"),
+            "contract_arr_cents",
+            F.when(F.col("year") % 2 == 0, "Y").otherwise("N").alias("auto_renew"),
+        )
+    )
+
+
+# --- files as they land ------------------------------------------------------------
+
+
+def landed_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as CSV files of three versions: all columns, one missing, one renamed and one new."""
+    folder = landing_folder(spark)
+    rows = rfm_orders(spark, sf_dir)
+    third = F.pmod("order_id", F.lit(3))
+    versions = (
+        rows.where(third == 0),
+        rows.where(third == 1).select("status", "total_amount", "order_id", "order_date"),
+        rows.where(third == 2).withColumnRenamed("order_date", "ordered_on").withColumn("channel", F.lit("a, b")),
+    )
+    for version in versions:
+        version.write.mode("append").option("header", True).csv(folder)
+    return folder
+
+
+def landed(df: DataFrame) -> str:
+    folder = landing_folder(df.sparkSession)
+    df.write.option("header", True).csv(folder)
+    return folder
+
+
+def landing_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 # --- event stream tables ---------------------------------------------------------
 
 

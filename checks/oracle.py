@@ -779,4 +779,142 @@ FINALS = {
         FROM events)""",
 }
 
+CTES |= {
+    "renewals": f"""
+      SELECT o_custkey * 10 + o_orderkey % 2 AS subscription_id,
+        {period('min(o_orderdate)')} AS start_period,
+        CAST(CAST(min(o_orderdate) AS DATE) + INTERVAL 8 MONTH AS DATE) AS contract_end,
+        CAST(max(floor(o_totalprice)) AS BIGINT) * 12 AS contract_arr_cents,
+        CASE WHEN year(o_orderdate) % 2 = 0 THEN 'Y' ELSE 'N' END AS auto_renew
+      FROM orders GROUP BY o_custkey, o_orderkey % 2, year(o_orderdate)""",
+    "placed": """
+      SELECT *, row_number() OVER (PARTITION BY segment_id, anomaly_severity <> 'NORMAL' ORDER BY date) AS place,
+        count(*) FILTER (anomaly_severity <> 'NORMAL') OVER (PARTITION BY segment_id) AS flags
+      FROM described""",
+    "chunk_metrics": f"""
+      SELECT segment_id, {r(avg('revenue_daily'), 2)} AS mean_revenue, {r(tot('revenue_daily'), 2)} AS whole_revenue,
+        count(*) FILTER (anomaly_severity <> 'NORMAL') AS n
+      FROM described GROUP BY segment_id""",
+    "chunked": f"""
+      SELECT segment_id, (place - 1) // 5 + 1 AS chunk,
+        list({{'segment_id': segment_id, 'date': date,
+          'revenue_actual': CAST({r('revenue_daily', 2)} AS DECIMAL(18,2)),
+          'revenue_expected': CAST({r('revenue_7d_avg', 2)} AS DECIMAL(18,2)),
+          'zscore': CAST({r('revenue_zscore', 2)} AS DECIMAL(18,2)),
+          'severity': anomaly_severity, 'description': anomaly_description}} ORDER BY place) AS entries
+      FROM placed WHERE anomaly_severity <> 'NORMAL' GROUP BY 1, 2""",
+    "chunks_of": """
+      SELECT m.*, CAST(greatest(ceil(n / 5), 1) AS INTEGER) AS chunks, CAST(coalesce(chunk, 1) AS INTEGER) AS chunk,
+        coalesce(entries, []) AS entries
+      FROM chunk_metrics m LEFT JOIN chunked c ON m.segment_id = c.segment_id""",
+}
+DIMENSIONS = "industry_vertical, geo_region, account_tier"
+
+
+def changed(sql: str, *pairs: tuple[str, str]) -> str:
+    """``sql`` with parts replaced, each of which must be there."""
+    for old, new in pairs:
+        if old not in sql:
+            raise ValueError(f"not in the statement: {old}")
+        sql = sql.replace(old, new)
+    return sql
+
+
+FINALS |= {
+    "ledger_without_metadata": f"""
+      SELECT {LEDGER} FROM (SELECT m.* EXCLUDE (created_at, is_trial), CAST(NULL AS VARCHAR) AS account_tier,
+        CAST(NULL AS VARCHAR) AS csm_owner, CAST(NULL AS VARCHAR) AS industry_vertical,
+        CAST(NULL AS VARCHAR) AS geo_region, CAST(NULL AS VARCHAR) AS first_paid_date,
+        min(billing_period) OVER (PARTITION BY account_id) AS cohort_month FROM moves m)""",
+    "worst_mismatches": FINALS["waterfall_recon"] + " LIMIT 10",
+    "implausible_sample": f"SELECT {KEYS}, nrr_point_in_time, total_beginning_arr_dollars FROM pit"
+    " WHERE nrr_point_in_time > 3 OR nrr_point_in_time < 0"
+    " ORDER BY nrr_point_in_time DESC, cohort_month, billing_period, geo_region LIMIT 20",
+    "contract_in_force": f"""
+      SELECT m.subscription_id, billing_period, allocated_period, r.contract_arr_cents, r.auto_renew, r.contract_end,
+        CASE WHEN allocated_period > {period('r.contract_end')} THEN 'beyond_contract'
+          WHEN allocated_period > '{AS_OF[:7]}' THEN 'future'
+          WHEN allocated_period = '{AS_OF[:7]}' THEN 'current' ELSE 'recognised' END AS recognition_status
+      FROM (SELECT subscription_id, billing_period, allocated_period FROM monthly) m
+      ASOF LEFT JOIN renewals r ON m.subscription_id = r.subscription_id AND m.allocated_period >= r.start_period""",
+    "payload_chunks": f"""
+      SELECT segment_id, chunk, chunks, n AS anomaly_count, CAST(to_json({{'pipeline': 'segment_revenue',
+          'report_date': '{AS_OF}', 'segment_id': segment_id,
+          'metrics': {{'revenue_daily': CAST(mean_revenue AS DECIMAL(18,2)),
+            'total_revenue': CAST(whole_revenue AS DECIMAL(18,2)), 'anomaly_count': n}},
+          'chunk': chunk, 'chunks': chunks, 'anomalies': entries, 'schema_version': 'v2'}}) AS VARCHAR) AS payload
+      FROM chunks_of""",
+    "segment_report": f"""
+      SELECT d.segment_id, d.date, {rr(6, 'segment_revenue_total', 'segment_revenue_avg', 'segment_revenue_peak')},
+        d.transaction_count, segment_balance, segment_accounts, revenue_rank, revenue_contribution_pct,
+        g.anomaly_severity, a.anomaly_days, a.anomaly_rate_pct
+      FROM (SELECT *, CAST(dense_rank() OVER (PARTITION BY date ORDER BY segment_revenue_total DESC) AS INTEGER)
+          AS revenue_rank, {r('segment_revenue_total / nullif('
+            + tot('segment_revenue_total', 'OVER (PARTITION BY date)') + ', 0) * 100', 2)}
+          AS revenue_contribution_pct FROM segment_days) d
+      LEFT JOIN (SELECT c_mktsegment AS segment_id, {r(tot('c_acctbal'), 6)} AS segment_balance,
+        count(*) AS segment_accounts FROM customer GROUP BY 1) m ON d.segment_id = m.segment_id
+      LEFT JOIN described g ON d.segment_id = g.segment_id AND d.date = g.date
+      LEFT JOIN (SELECT segment_id, count(*) FILTER (anomaly_severity <> 'NORMAL') AS anomaly_days,
+        {r("CAST(count(*) FILTER (anomaly_severity <> 'NORMAL') AS DOUBLE) / count(*) * 100", 2)}
+          AS anomaly_rate_pct FROM described GROUP BY 1) a ON d.segment_id = a.segment_id""",
+    "heavy_hitters": f"""
+      SELECT l_suppkey, count(*) AS row_count,
+        {r('CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM lineitem)', 6)} AS share
+      FROM lineitem GROUP BY l_suppkey
+      HAVING count(*) >= 0.0102::DOUBLE * (SELECT count(*) FROM lineitem)""",
+    "skew_join": f"""
+      SELECT s_nationkey, count(*) AS row_count, {tot('l_extendedprice')} AS amount
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey""",
+    "salted_repartition": """
+      SELECT l_returnflag, CAST(count(*) AS BIGINT) AS row_count, TRUE AS is_balanced
+      FROM lineitem GROUP BY l_returnflag""",
+    "schema_merge": f"""
+      SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+        CASE WHEN o_orderkey % 3 <> 1 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+        CAST(o_orderdate AS DATE) AS order_date, {lookup(STATUS, 'o_orderstatus')} AS status,
+        o_totalprice AS total_amount FROM orders""",
+    "source_customers": """
+      SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS first_name, n_name AS country,
+        c_mktsegment AS segment, DATE '2021-03-15' AS signup_date
+      FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
+    "source_revenue": "SELECT date, segment, revenue_amount, transaction_count, avg_basket_size FROM series",
+    "stored_segments": FINALS["rfm_enriched"],
+    "stored_alerts": FINALS["anomaly_alerts"],
+    "stored_totals": FINALS["segment_totals"],
+    "stored_report": FINALS["performance_report"],
+    "stored_ledger": FINALS["mrr_ledger"],
+    "stored_matrix": FINALS["cohort_matrix"],
+    "stored_allocation": "SELECT subscription_id, billing_period, allocated_period,"
+    " allocated_mrr_cents_per_month, recognition_status, contract_arr_cents, auto_renew FROM statuses",
+    "stored_metrics": FINALS["nrr_quality"],
+    "stored_waterfall": FINALS["arr_waterfall"],
+    "ledger_batches": FINALS["mrr_ledger"],
+    "run_history": f"""
+      SELECT run_id, job, metric, value, previous, change, coalesce(abs(change) > 0.1, FALSE) AS breach
+      FROM (SELECT *, CASE WHEN previous <> 0 THEN {r('(value - previous) / abs(previous)', 6)} END AS change
+        FROM (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY run_id) AS previous
+          FROM (SELECT strftime(ts, '%Y-%m-%d') AS run_id, 'load' AS job, event_type AS metric,
+            CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY ALL)))""",
+}
+
 ORACLE = {name: statement(final.strip()) for name, final in FINALS.items()}
+ORACLE |= {
+    "ledger_keep_last": changed(
+        ORACLE["mrr_ledger"], ("ORDER BY created_at, event_id) = 1", "ORDER BY created_at DESC, event_id DESC) = 1")
+    ),
+    "cohort_matrix_dimensions": changed(
+        ORACLE["cohort_matrix"],
+        ("cohort_month, geo_region,", f"cohort_month, {DIMENSIONS},"),
+        ("billing_period, geo_region, count(", f"billing_period, {DIMENSIONS}, count("),
+    ),
+    "deferred_upfront": changed(
+        ORACLE["deferred_balance"],
+        ("greatest(0.0::DOUBLE, closing_mrr_dollars * contract_duration_months", "greatest(0.0::DOUBLE, closing_mrr_dollars"),
+    ),
+    "logo_as_written": changed(
+        ORACLE["logo_retention"],
+        ("churned_account_count AS churned_accounts", "CASE WHEN churn_arr_dollars < 0 THEN account_count ELSE 0 END AS churned_accounts"),
+        ("CAST(churned_account_count AS DOUBLE)", "CAST(CASE WHEN churn_arr_dollars < 0 THEN account_count ELSE 0 END AS DOUBLE)"),
+    ),
+}

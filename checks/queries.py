@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
-from tallyspark.functions.exprs import one_value
+from tallyspark.functions.exprs import one_value, total
 from tallyspark.operators import (
-    alerts, allocation, anomaly, cohort, ledger, quality, retention, rfm, segment, waterfall,
+    alerts, allocation, anomaly, cohort, ledger, quality, retention, rfm, segment, skew, waterfall,
 )
+from tallyspark import schemas
+from tallyspark.plans.incremental import apply_batch
 from tallyspark.plans.jobs import segment_customers
 from tallyspark.schemas import ALERT_COLUMNS, WATERFALL_COLUMNS, schema
 from tallyspark.scratch import park
+from tallyspark.sources import history, publish, readers, writers
 
 from . import inputs
 
@@ -707,3 +710,220 @@ def failure_signals(spark, sf_dir):
     return signal.select(
         *[F.to_json(c).alias(c) if c in nested else F.col(c) for c in signal.columns]
     )
+
+
+# --- options and reports of the operators above --------------------------------------
+
+
+@query
+def ledger_keep_last(spark, sf_dir):
+    return ledger.mrr_ledger(
+        inputs.billing_events(spark, sf_dir), inputs.account_metadata(spark, sf_dir), keep="last"
+    )
+
+
+@query
+def ledger_without_metadata(spark, sf_dir):
+    return ledger.mrr_ledger(inputs.billing_events(spark, sf_dir))
+
+
+@query
+def cohort_matrix_dimensions(spark, sf_dir):
+    matrix = cohort.build_matrix(park(_ledger(spark, sf_dir)), cohort.DIMENSIONS)
+    return matrix.drop("net_revenue_retention_rate")
+
+
+@query
+def deferred_upfront(spark, sf_dir):
+    expanded = allocation.expand_months(_allocated(spark, sf_dir))
+    return rounded(
+        allocation.deferred_balance(expanded, "upfront").select(
+            "subscription_id", "billing_period", "allocated_period", "months_elapsed",
+            "recognised_revenue_dollars", "recognised_in_period_dollars", "deferred_revenue_balance_dollars",
+        ),
+        4,
+    )
+
+
+@query
+def logo_as_written(spark, sf_dir):
+    matrix = _matrix_of(park(_ledger(spark, sf_dir)))
+    return retention.logo_retention(matrix, mode="as_written").select(
+        *KEYS, "account_count", "churned_accounts", "logo_retention_rate"
+    )
+
+
+@query
+def worst_mismatches(spark, sf_dir):
+    return rounded(waterfall.mismatches(_bare_waterfall(spark, sf_dir), limit=10))
+
+
+@query
+def implausible_sample(spark, sf_dir):
+    matrix = _matrix_of(park(_ledger(spark, sf_dir)))
+    return retention.implausible_nrr(retention.point_in_time(matrix), limit=20).select(
+        *KEYS, "nrr_point_in_time", "total_beginning_arr_dollars"
+    )
+
+
+@query
+def contract_in_force(spark, sf_dir):
+    rows = allocation.contract_terms(_net(spark, sf_dir), inputs.contract_renewals(spark, sf_dir))
+    expanded = allocation.expand_months(allocation.contract_months(rows))
+    return allocation.recognition_status(expanded, inputs.AS_OF).select(
+        "subscription_id", "billing_period", "allocated_period", "contract_arr_cents", "auto_renew",
+        "contract_end", "recognition_status",
+    )
+
+
+@query
+def payload_chunks(spark, sf_dir):
+    return alerts.alert_payload_chunks(_thresholds(spark, sf_dir), inputs.AS_OF, most=5)
+
+
+@query
+def segment_report(spark, sf_dir):
+    days = segment.segment_days(inputs.segment_orders(spark, sf_dir), inputs.segment_metadata(spark, sf_dir))
+    return rounded(segment.segment_report(days, _thresholds(spark, sf_dir)))
+
+
+# --- skew --------------------------------------------------------------------------
+
+
+@query
+def heavy_hitters(spark, sf_dir):
+    return skew.heavy_hitters(inputs.table(spark, sf_dir, "lineitem"), "l_suppkey", 0.0102)
+
+
+@query
+def skew_join(spark, sf_dir):
+    items = inputs.table(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
+    suppliers = inputs.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    joined = skew.skew_join(items, suppliers, "s_suppkey", ["l_orderkey", "l_linenumber"], partitions=256)
+    return joined.groupBy("s_nationkey").agg(F.count("*").alias("row_count"), total("l_extendedprice").alias("amount"))
+
+
+@query
+def salted_repartition(spark, sf_dir):
+    # Three flags, the largest with half of all rows, over 16 partitions.
+    items = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    dealt = skew.spread(items, "l_returnflag", ["l_orderkey", "l_linenumber"], 16)
+    counts = park(dealt.withColumn("part", F.spark_partition_id()).groupBy("part", "l_returnflag").count())
+    loads = counts.groupBy("part").agg(F.sum("count").alias("n"))
+    even = loads.agg((F.max("n") * 16 <= F.sum("n") * 2).alias("even"))
+    return counts.groupBy("l_returnflag").agg(F.sum("count").alias("row_count")).withColumn(
+        "is_balanced", one_value(even, "even")
+    )
+
+
+# --- files and published tables ------------------------------------------------------
+
+
+@query
+def schema_merge(spark, sf_dir):
+    return readers.read_csv(
+        spark, inputs.landed_orders(spark, sf_dir), schemas.ORDERS, {"order_date": ["ordered_on"]}
+    )
+
+
+@query
+def source_customers(spark, sf_dir):
+    people = inputs.rfm_customers(spark, sf_dir).withColumn("signup_date", F.lit("2021-03-15"))
+    return readers.customers(spark, inputs.landed(people)).select(
+        "customer_id", "first_name", "country", "segment", "signup_date"
+    )
+
+
+@query
+def source_revenue(spark, sf_dir):
+    return readers.segment_revenue(spark, inputs.landed(inputs.anomaly_revenue(spark, sf_dir)))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as the named table and read back from its last version."""
+    path, df = inputs.landing_folder(df.sparkSession), park(df)
+    writers.write_table(df.limit(3), name, path, allow_missing=True)
+    writers.write_table(df, name, path, allow_missing=True)
+    return readers.read_table(df.sparkSession, path).select(*[f"`{c}`" for c in df.columns])
+
+
+@query
+def stored_segments(spark, sf_dir):
+    return _stored(rfm_enriched(spark, sf_dir), "rfm_segments")
+
+
+@query
+def stored_alerts(spark, sf_dir):
+    found = anomaly_alerts(spark, sf_dir)
+    return _stored(found.select(*[c for c in schemas.ALERT_COLUMNS if c in found.columns]), "revenue_alerts")
+
+
+@query
+def stored_totals(spark, sf_dir):
+    return _stored(segment_totals(spark, sf_dir), "segment_totals")
+
+
+@query
+def stored_report(spark, sf_dir):
+    return _stored(performance_report(spark, sf_dir), "performance_report")
+
+
+@query
+def stored_ledger(spark, sf_dir):
+    return _stored(_ledger(spark, sf_dir), "mrr_events")
+
+
+@query
+def stored_matrix(spark, sf_dir):
+    return _stored(cohort_matrix(spark, sf_dir), "cohort_arr_matrix")
+
+
+@query
+def stored_allocation(spark, sf_dir):
+    allocated = allocation.allocate_revenue(
+        _net(spark, sf_dir), inputs.AS_OF, inputs.contract_schedule(spark, sf_dir)
+    )
+    return _stored(
+        allocated.select(
+            "subscription_id", "billing_period", "allocated_period", "allocated_mrr_cents_per_month",
+            "recognition_status", "contract_arr_cents", "auto_renew",
+        ),
+        "allocated_revenue",
+    )
+
+
+@query
+def stored_metrics(spark, sf_dir):
+    found = nrr_quality(spark, sf_dir)
+    return _stored(found.select(*[c for c in schemas.RETENTION_COLUMNS if c in found.columns]), "nrr_metrics")
+
+
+@query
+def stored_waterfall(spark, sf_dir):
+    return _stored(arr_waterfall(spark, sf_dir), "arr_waterfall")
+
+
+@query
+def ledger_batches(spark, sf_dir):
+    # Three batches without order in time, so that each holds late events.
+    events, path = inputs.billing_events(spark, sf_dir), inputs.landing_folder(spark)
+    metadata = inputs.account_metadata(spark, sf_dir)
+    for i in range(3):
+        batch = events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i)
+        apply_batch(spark, batch, f"{path}/state", f"{path}/ledger", metadata)
+    return readers.read_table(spark, f"{path}/ledger").select(*schemas.LEDGER_COLUMNS)
+
+
+@query
+def run_history(spark, sf_dir):
+    # Each day of events as a run that counts its types, recorded in two appends.
+    path = inputs.landing_folder(spark)
+    days = inputs.table(spark, sf_dir, "events").groupBy(
+        F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.col("event_type").alias("metric")
+    ).agg(F.count("*").cast("double").alias("value"))
+    rows = days.select(
+        "run_id", F.lit("load").alias("job"), "metric", "value", F.to_timestamp("run_id").alias("recorded_at")
+    )
+    for half in (F.substring("run_id", 9, 2) > "15", F.substring("run_id", 9, 2) <= "15"):
+        publish.publish(rows.where(half), path, replace="nothing")
+    return history.changes(history.read(spark, path), limit=0.1).drop("recorded_at")

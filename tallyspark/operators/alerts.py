@@ -7,12 +7,30 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import mean, total
+from .ranks import row_numbers
 from .segment import DAY, REVENUE, SEGMENT, is_flagged
 
 # Fixed values.
 SCHEMA_VERSION = "v2"
 HIGH_VOLUME = 5
 MONEY = "decimal(18,2)"
+PAYLOAD_ENTRIES = 1000
+
+
+def _money(c: str | Column) -> Column:
+    return F.round(c, 2).cast(MONEY)
+
+
+def _entry() -> Column:
+    return F.struct(
+        F.col(SEGMENT),
+        F.col(DAY),
+        _money(REVENUE).alias("revenue_actual"),
+        _money("revenue_7d_avg").alias("revenue_expected"),
+        _money("revenue_zscore").alias("zscore"),
+        F.col("anomaly_severity").alias("severity"),
+        F.col("anomaly_description").alias("description"),
+    )
 
 
 def alert_payloads(
@@ -24,26 +42,14 @@ def alert_payloads(
     (a sum over raw rows would not be bounded). Amounts are written as decimals.
     """
 
-    def money(c: str | Column) -> Column:
-        return F.round(c, 2).cast(MONEY)
-
-    entry = F.struct(
-        F.col(SEGMENT),
-        F.col(DAY),
-        money(REVENUE).alias("revenue_actual"),
-        money("revenue_7d_avg").alias("revenue_expected"),
-        money("revenue_zscore").alias("zscore"),
-        F.col("anomaly_severity").alias("severity"),
-        F.col("anomaly_description").alias("description"),
-    )
     by_day = F.array_sort(
-        F.collect_list(F.when(is_flagged(), entry)),
+        F.collect_list(F.when(is_flagged(), _entry())),
         lambda a, b: F.datediff(a[DAY], b[DAY]),
     )
     stamp = report_date if isinstance(report_date, Column) else F.lit(report_date)
     grouped = scored.groupBy(SEGMENT).agg(
-        money(mean(REVENUE)).alias("average"),
-        money(total(REVENUE)).alias("whole"),
+        _money(mean(REVENUE)).alias("average"),
+        _money(total(REVENUE)).alias("whole"),
         F.count_if(is_flagged()).alias("anomaly_count"),
         by_day.alias("anomalies"),
     )
@@ -62,6 +68,60 @@ def alert_payloads(
     )
 
 
+def alert_payload_chunks(
+    scored: DataFrame,
+    report_date: date | str | Column,
+    pipeline: str = "segment_revenue",
+    most: int = PAYLOAD_ENTRIES,
+) -> DataFrame:
+    """``alert_payloads`` in numbered chunks of at most ``most`` flagged rows, whatever their number.
+
+    (segment_id, chunk from 1, chunks, anomaly_count of the segment, payload); the payload has its
+    chunk and the number of chunks too. Rows are in order of date over the chunks of a segment; a
+    segment without flagged rows has one empty chunk. Rows are numbered in range-sorted slices,
+    so a segment with any number of flagged rows is spread over tasks.
+    """
+    # Rows that agree in all of these give equal entries, so their order does not matter.
+    order = [F.col(c).asc_nulls_first() for c in (DAY, REVENUE, "revenue_7d_avg", "revenue_zscore", "anomaly_description")]
+    flagged = scored.filter(is_flagged()).select(SEGMENT, DAY, REVENUE, "revenue_7d_avg", "revenue_zscore",
+                                                 "anomaly_severity", "anomaly_description")
+    numbered = row_numbers(flagged, [SEGMENT], order, "place")
+    entries = (
+        numbered.withColumn("chunk", F.floor((F.col("place") - 1) / most).cast("int") + 1)
+        .groupBy(SEGMENT, "chunk")
+        .agg(F.array_sort(F.collect_list(F.struct("place", _entry().alias("entry")))).alias("rows"))
+        .select(SEGMENT, "chunk", F.transform("rows", lambda r: r["entry"]).alias("anomalies"))
+    )
+    segments = scored.groupBy(F.col(SEGMENT).alias("__segment")).agg(
+        _money(mean(REVENUE)).alias("average"),
+        _money(total(REVENUE)).alias("whole"),
+        F.count_if(is_flagged()).alias("anomaly_count"),
+    )
+    stamp = report_date if isinstance(report_date, Column) else F.lit(report_date)
+    joined = segments.join(entries, F.col("__segment").eqNullSafe(F.col(SEGMENT)), "left").drop(SEGMENT)
+    joined = joined.withColumnRenamed("__segment", SEGMENT).withColumns(
+        {
+            "chunk": F.coalesce("chunk", F.lit(1)),
+            "chunks": F.greatest(F.ceil(F.col("anomaly_count") / most), F.lit(1)).cast("int"),
+            "anomalies": F.coalesce("anomalies", F.array().cast(entries.schema["anomalies"].dataType)),
+        }
+    )
+    payload = F.struct(
+        F.lit(pipeline).alias("pipeline"),
+        F.date_format(stamp.cast("date"), "yyyy-MM-dd").alias("report_date"),
+        F.col(SEGMENT),
+        F.struct(
+            F.col("average").alias(REVENUE), F.col("whole").alias("total_revenue"), "anomaly_count"
+        ).alias("metrics"),
+        "chunk",
+        "chunks",
+        "anomalies",
+        F.lit(SCHEMA_VERSION).alias("schema_version"),
+    )
+    text = F.to_json(payload, {"ignoreNullFields": "false"}).alias("payload")
+    return joined.select(SEGMENT, "chunk", "chunks", "anomaly_count", text)
+
+
 def escalation_route(found: DataFrame) -> DataFrame:
     """One row: alert counts and where they lead."""
     counted = found.agg(

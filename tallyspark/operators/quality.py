@@ -24,9 +24,16 @@ def _sources(df: DataFrame, field: StructField, aliases: Aliases) -> list[str]:
     return [n for n in (field.name, *aliases.get(field.name, ())) if n in df.columns]
 
 
+def text_as(value: Column, field: StructField) -> Column:
+    """A text value as declared, NULL where it does not parse."""
+    if isinstance(field.dataType, DateType):
+        return F.try_to_date(value, "yyyy-MM-dd")
+    return value.try_cast(field.dataType)
+
+
 def _read_as(df: DataFrame, name: str, field: StructField) -> Column:
-    if isinstance(field.dataType, DateType) and isinstance(df.schema[name].dataType, StringType):
-        return F.try_to_date(F.col(name), "yyyy-MM-dd")
+    if isinstance(df.schema[name].dataType, StringType):
+        return text_as(F.col(name), field)
     return F.col(name).try_cast(field.dataType)
 
 

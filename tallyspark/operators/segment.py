@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.exprs import mean, total
 from ..schemas import REPORT_COLUMNS
 from .frames import by_day, trailing
+from .ranks import dense_ranks
 
 SEGMENT, DAY, REVENUE = "segment_id", "date", "revenue_daily"
 
@@ -112,18 +113,29 @@ def segment_days(
 
 
 def revenue_rank(days: DataFrame, revenue: str = "segment_revenue_total") -> DataFrame:
-    """Dense rank of the segments of a day, highest revenue first."""
-    return days.withColumn(
-        "revenue_rank", F.dense_rank().over(Window.partitionBy(DAY).orderBy(F.desc(revenue)))
-    )
+    """Dense rank of the segments of a day, highest revenue first; a day with many segments is
+    ranked by many tasks."""
+    return dense_ranks(days, [DAY], revenue, "revenue_rank")
 
 
 def contribution_pct(days: DataFrame, revenue: str = "segment_revenue_total") -> DataFrame:
-    """Each segment's share of its day, in percent; NULL on a day that sums to zero."""
-    whole = total(revenue, Window.partitionBy(DAY))
-    return days.withColumn(
-        "revenue_contribution_pct", F.round(F.try_divide(F.col(revenue), whole) * 100, 2)
-    )
+    """Each segment's share of its day, in percent; NULL on a day that sums to zero.
+
+    The days' totals are partial sums, one row a day, joined back.
+    """
+    whole = days.groupBy(F.col(DAY).alias("__day")).agg(total(revenue).alias("__whole"))
+    share = F.round(F.try_divide(F.col(revenue), F.col("__whole")) * 100, 2)
+    joined = days.join(whole, F.col(DAY).eqNullSafe(F.col("__day")), "left")
+    return joined.withColumn("revenue_contribution_pct", share).drop("__day", "__whole")
+
+
+def segment_report(days: DataFrame, scored: DataFrame) -> DataFrame:
+    """``segment_days`` with the rank and share of each segment on its day and, from the
+    ``threshold_scores``, its severity that day and its share of flagged days."""
+    rates = anomaly_rate(scored).select(SEGMENT, "anomaly_days", "anomaly_rate_pct")
+    flags = scored.select(SEGMENT, DAY, "anomaly_severity")
+    placed = contribution_pct(revenue_rank(days))
+    return placed.join(flags, [SEGMENT, DAY], "left").join(rates, SEGMENT, "left")
 
 
 def _severity(z: Column, ratio: Column, z_threshold: float, multiplier: float) -> Column:

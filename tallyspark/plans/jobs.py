@@ -69,7 +69,8 @@ def ingest_job(
 
 
 def published(spark: SparkSession, path: str, schema: StructType, run_id: str | None = None) -> DataFrame:
-    """Curated rows of a run (the last by name unless given) after a check of its manifest."""
+    """Curated rows of a run (the last whose manifest was written unless given) after a check of
+    its manifest."""
     chosen = run_id if run_id is not None else readers.last_run(spark.read.parquet(f"{path}/manifest"))
     listed = spark.read.parquet(f"{path}/manifest/run_id={chosen}")
     stored = spark.read.schema(schema).parquet(f"{path}/curated/run_id={chosen}")
@@ -175,13 +176,17 @@ def segment_job(
     json_path: str | None = None,
     payload_path: str | None = None,
     summary_path: str | None = None,
+    segments_path: str | None = None,
+    metadata: DataFrame | None = None,
     run_id: str | None = None,
     history_path: str | None = None,
 ) -> DataFrame:
     """Daily revenue to segment totals and the scored performance report; returns the latter.
 
-    ``payload_path`` takes one alert payload per segment, ``summary_path`` the one-row summary
-    of the period; both are kept by report date.
+    ``payload_path`` takes the alert payloads of each segment, in chunks, ``summary_path`` the
+    one-row summary of the period; both are kept by report date. ``segments_path`` takes rank,
+    share, severity and rate of flagged days of each segment and day, with the attributes of
+    ``metadata``.
     """
     daily = segment.daily_series(readers.daily_revenue(spark, revenue_path))
     totals = segment.segment_totals(segment.flag_spikes(segment.rolling_week(daily)))
@@ -193,11 +198,14 @@ def segment_job(
     tables["performance_report"] = write_table(report, "performance_report", report_path, run_id)
     stamp = F.lit(report_date).cast("date").alias("report_date")
     if payload_path is not None:
-        payloads = alerts.alert_payloads(scored, report_date)
+        payloads = alerts.alert_payload_chunks(scored, report_date)
         tables["alert_payloads"] = write_table(payloads.select("*", stamp), "alert_payloads", payload_path, run_id)
     if summary_path is not None:
         summary = segment.summary_stats(scored)
         tables["report_summary"] = write_table(summary.select("*", stamp), "report_summary", summary_path, run_id)
+    if segments_path is not None:
+        placed = segment.segment_report(segment.segment_days(daily, metadata), scored)
+        tables["segment_report"] = write_table(placed, "segment_report", segments_path, run_id)
     _record(spark, history_path, "segment", run_id, tables)
     written = readers.read_table(spark, report_path, run_id=run_id)
     written = written.where(F.col("report_date") == F.lit(report_date).cast("date")).select(*report.columns)

@@ -2,37 +2,106 @@
 
 from __future__ import annotations
 
+import csv
+import hashlib
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .. import schemas
-from ..operators.quality import Aliases, conform
+from ..operators.quality import Aliases, conform, text_as
+from ..scratch import park
 from . import publish
 
 
+MOST_VERSIONS = 1000
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header) of all files in one job: the first line of each file's first block."""
+    first = _lines(spark, path).where("start = 0").withColumn("line", F.monotonically_increasing_id())
+    return first.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+
+
+def _names(header: str) -> list[str]:
+    return next(csv.reader([header.lstrip("\ufeff")]), [])
+
+
+def _headers(found: DataFrame) -> list[tuple[str, int]]:
+    """Distinct headers with their number of files."""
+    rows = found.groupBy("header").count().orderBy("header").limit(MOST_VERSIONS + 1).collect()
+    if len(rows) > MOST_VERSIONS:
+        raise ValueError(f"more than {MOST_VERSIONS} different headers; are these files without one?")
+    return [(r["header"], r["count"]) for r in rows]
+
+
+def schema_versions(spark: SparkSession, path: str, schema: StructType, aliases: Aliases | None = None) -> DataFrame:
+    """One row for each header among the files of a folder: its fingerprint, files, columns, and
+    how it departs from ``schema``: missing columns, unknown ones, and those under an older name."""
+    aliases = aliases or {}
+    older = {old: new for new, names in aliases.items() for old in names}
+    rows = []
+    for header, count in _headers(csv_headers(spark, path)):
+        names = _names(header)
+        known = {older.get(n, n) for n in names}
+        rows.append(
+            (
+                hashlib.md5(",".join(names).encode()).hexdigest(),
+                count,
+                names,
+                [n for n in schema.names if n not in known],
+                [n for n in names if n not in older and n not in schema.names],
+                [n for n in names if n in older],
+            )
+        )
+    return spark.createDataFrame(
+        rows,
+        "fingerprint string, files long, columns array<string>, missing array<string>, unknown array<string>,"
+        " renamed array<string>",
+    )
+
+
+def _columns(names: Sequence[str], schema: StructType, aliases: Aliases) -> Column:
+    """The declared columns out of a line parsed into ``r`` by position; the first of two columns
+    of one name counts."""
+    place = {n: i for i, n in reversed(list(enumerate(names)))}
+
+    def column(field: StructField) -> Column:
+        found = [
+            text_as(F.col(f"r.c{place[n]}"), field) for n in (field.name, *aliases.get(field.name, ())) if n in place
+        ]
+        return (F.coalesce(*found) if found else F.lit(None).cast(field.dataType)).alias(field.name)
+
+    return F.struct(*[column(f) for f in schema])
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, aliases: Aliases | None = None
 ) -> DataFrame:
     """CSV with a header; malformed dates and numbers become NULL.
 
-    Files whose headers differ are read apart and joined by column name, one small read for
-    each file's header.
+    Files whose headers differ are matched by column name: one job takes the headers of all files,
+    and one scan parses each line by the header of its file, however many files there are. A line
+    that equals its file's header is one (of files that were joined); blank lines are none.
     """
-    files = spark.read.text(path).inputFiles()
-    if len(files) < 2:
+    found = park(csv_headers(spark, path))
+    headers = [h for h, _ in _headers(found)]
+    if len(headers) < 2:
         return conform(spark.read.option("header", True).csv(path), schema, aliases)
-    versions: dict[str, list[str]] = {}
-    for file in files:
-        for line in spark.read.text(file).head(1):
-            versions.setdefault(line.value, []).append(file)
-    parts = [
-        conform(spark.read.option("header", True).csv(version), schema, aliases) for version in versions.values()
-    ]
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+    widest = max(len(_names(h)) for h in headers)
+    parsed = F.from_csv("value", ", ".join(f"c{i} string" for i in range(widest)), {"mode": "PERMISSIVE"})
+    lines = _lines(spark, path).join(found, "file").where((F.trim("value") != "") & (F.col("value") != F.col("header")))
+    lines = lines.select("header", parsed.alias("r"))
+    row = F.coalesce(*[F.when(F.col("header") == h, _columns(_names(h), schema, aliases or {})) for h in headers])
+    return lines.select(row.alias("row")).select("row.*")
 
 
 def customers(spark: SparkSession, path: str) -> DataFrame:

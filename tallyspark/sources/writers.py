@@ -30,6 +30,7 @@ TABLES = {
     "rfm_segments": Table(schemas.RFM_COLUMNS, ["rfm_segment"], snapshot=True),
     "revenue_alerts": Table(schemas.ALERT_COLUMNS, ["severity_band", "segment"], snapshot=True),
     "segment_totals": Table(None),
+    "segment_report": Table(None),
     "performance_report": Table(None, ["report_date"]),
     "alert_payloads": Table(None, ["report_date"]),
     "report_summary": Table(None, ["report_date"]),

@@ -1,0 +1,70 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyspark.operators import skew
+
+
+def facts(spark, n=8000):
+    """95 % of the rows have one key, some have none, the rest one of many."""
+    key = F.when(F.col("id") % 100 == 7, None).when(F.col("id") % 100 < 95, F.lit("hot")).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 397).cast("string"))
+    )
+    return spark.range(n).select(F.col("id"), key.alias("key"))
+
+
+def test_heavy_keys_are_found_with_few_tracked_items(spark, frame):
+    rng = random.Random(4)
+    keys = ["a"] * 300 + ["b"] * 60 + [None] * 80 + [f"x{rng.randrange(5000)}" for _ in range(2000)]
+    rng.shuffle(keys)
+    df = frame("key string, id int", *[(k, i) for i, k in enumerate(keys)]).repartition(6)
+    heavy = skew.heavy_keys(df, "key", 0.02)
+    found = dict(heavy.keys)
+    assert heavy.total == len(keys) and {"a", "b", None} <= set(found) and len(found) <= 100
+    assert found["a"] >= 300 and found[None] == 80
+    exact = {r.key: (r.row_count, r.share) for r in skew.heavy_hitters(df, "key", 0.02).collect()}
+    n = len(keys)
+    assert exact == {"a": (300, round(300 / n, 6)), "b": (60, round(60 / n, 6)), None: (80, round(80 / n, 6))}
+    assert skew.heavy_hitters(df.where("false"), "key", 0.02).count() == 0
+
+
+def test_spread_leaves_no_partition_above_twice_the_mean(spark):
+    df = facts(spark)
+    dealt = skew.spread(df, "key", ["id"], 16)
+    assert dealt.rdd.getNumPartitions() == 16
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 8000 and len(sizes) == 16 and max(sizes) <= 2 * 8000 / 16
+    # Keys that are not heavy stay whole.
+    places = dealt.withColumn("place", F.spark_partition_id()).where("key <> 'hot'").groupBy("key").agg(F.countDistinct("place").alias("n"))
+    assert places.where("n > 1").count() == 0
+    assert sorted(r.id for r in dealt.collect()) == list(range(8000))
+
+
+def test_spread_of_even_keys_and_of_nothing(spark):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 500).alias("key"))
+    assert skew.spread(df, "key", ["id"], 4).where("key = 3").count() == 2
+    assert skew.spread(df.where("false"), "key", ["id"], 4).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_join_equals_the_plain_join(spark, how):
+    df = facts(spark, 3000)
+    dimension = spark.createDataFrame(
+        [("hot", 1), ("hot", 2), (None, 3), *[(f"k{i}", i) for i in range(0, 397, 3)]], "key string, label int"
+    )
+    found = skew.skew_join(df, dimension, "key", ["id"], how, partitions=8)
+    want = df.join(dimension, "key", how).select("id", "key", "label")
+    assert found.columns == want.columns
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_only_heavy_keys_repeat_their_dimension_rows(spark):
+    heavy = skew.heavy_keys(facts(spark), "key", 0.05)
+    assert [k for k, _ in heavy.keys] == ["hot"]
+    assert skew._widths(heavy, 8) == [("hot", 0, 8)]
+    with pytest.raises(ValueError):
+        skew.skew_join(facts(spark), facts(spark), "key", ["id"], "full")
+    with pytest.raises(ValueError):
+        skew.heavy_keys(facts(spark), "key", 0)

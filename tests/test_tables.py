@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tallyspark import schemas
 from tallyspark.scratch import park, shared_folder
 from tallyspark.sources import readers, writers
 
@@ -166,3 +167,45 @@ def test_run_names_that_look_like_dates_or_numbers(frame, spark, tmp_path, ledge
         writers.write_table(frame(LEDGER, ("2024-01", i)), ledger_table, path, run_id=run)
     assert [r.v for r in readers.read_table(spark, path).collect()] == [1]
     assert [r.v for r in readers.read_table(spark, path, run_id=runs[0]).collect()] == [0]
+
+
+def csv_folder(tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for i in range(40):
+        versions = [
+            f"order_id,customer_id,order_date,status,total_amount\no{i},c,2024-01-02,paid,5.0\n\n",
+            f"﻿order_id,total_amount,when,extra\no{i},7.5,2024-01-03,\"a, b\"\n",
+            f"status,order_id,order_id\npaid,o{i},second\nstatus,order_id,order_id\n",
+        ]
+        (folder / f"{i:02d}.csv").write_text(versions[i % 3])
+    (folder / "empty.csv").write_text("")
+    return str(folder)
+
+
+def test_schema_versions_of_many_files(spark, tmp_path):
+    path = csv_folder(tmp_path)
+    aliases = {"order_date": ["when"]}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("csv", "csv")
+    got = by(readers.read_csv(spark, path, schemas.ORDERS, aliases), "order_id")
+    jobs = len(tracker.getJobIdsForGroup("csv"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8 and len(got) == 40  # not one for each file
+    assert got["o0"]["total_amount"] == 5.0 and got["o0"]["customer_id"] == "c"
+    assert got["o1"] == {"order_id": "o1", "customer_id": None, "order_date": date(2024, 1, 3), "status": None, "total_amount": 7.5}
+    assert got["o2"]["status"] == "paid" and got["o2"]["total_amount"] is None
+    drift = {tuple(r.columns): r for r in readers.schema_versions(spark, path, schemas.ORDERS, aliases).collect()}
+    assert sum(r.files for r in drift.values()) == 40 and len(drift) == 3
+    changed = drift["order_id", "total_amount", "when", "extra"]
+    assert (changed.missing, changed.unknown, changed.renamed) == (["customer_id", "status"], ["extra"], ["when"])
+
+
+def test_last_run_is_the_last_written(spark, frame, tmp_path):
+    import time
+
+    for run in ("run-10", "run-9", "run-2"):
+        frame("v int", (1,)).coalesce(1).write.parquet(str(tmp_path / f"run_id={run}"))
+        time.sleep(1.1)
+    frame("v int", (1,)).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "run_id=run-9"))
+    assert readers.last_run(spark.read.parquet(str(tmp_path))) == "run-9"
