@@ -879,7 +879,7 @@ FINALS |= {
         c_mktsegment AS segment, DATE '2021-03-15' AS signup_date
       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "source_revenue": "SELECT date, segment, revenue_amount, transaction_count, avg_basket_size FROM series",
-    "stored_segments": FINALS["rfm_enriched"],
+    "stored_segments": f"SELECT * EXCLUDE (segment) FROM ({FINALS['rfm_enriched']})",
     "stored_alerts": FINALS["anomaly_alerts"],
     "stored_totals": FINALS["segment_totals"],
     "stored_report": FINALS["performance_report"],

@@ -849,7 +849,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 @query
 def stored_segments(spark, sf_dir):
-    return _stored(rfm_enriched(spark, sf_dir), "rfm_segments")
+    return _stored(rfm_enriched(spark, sf_dir).drop("segment"), "rfm_segments")
 
 
 @query

@@ -45,8 +45,7 @@ def mean(
     amount: str | Column, over: WindowSpec | None = None, scale: int = UNITS
 ) -> Column:
     """Order-independent average of a column with a fixed number of decimals, as double."""
-    u = units(amount, scale)
-    s, n = F.sum(u), F.count(u)
+    s, n = F.sum(units(amount, scale)), F.count(col(amount))  # units are NULL for NULL alone
     if over is not None:
         s, n = s.over(over), n.over(over)
     return F.try_divide(s / F.lit(float(scale)), n)

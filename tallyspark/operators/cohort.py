@@ -64,6 +64,25 @@ def _account_months(
     )
 
 
+def arr_intervals(
+    indexed: DataFrame, dims: Sequence[str] = DIMENSIONS, through: str | Column | None = None
+) -> DataFrame:
+    """Account ARR as intervals of one level: from ``month`` (that of a movement) until before
+    ``until_month``, clipped to the months with ARR.
+
+    A level of zero lasts for the month of its movement only, and only where there was ARR
+    before; an account's intervals are its movements, however long they last.
+    """
+    level, net = F.col("cumulative_net_new_mrr_cents"), F.col("net_new_mrr_cents")
+    months = F.when(level != 0, F.col("next_month") - F.col("month")).when(level != net, 1).otherwise(0)
+    return (
+        _account_months(indexed, dims, through)
+        .withColumn("until_month", F.col("month") + months)
+        .filter("until_month > month")
+        .drop("next_month")
+    )
+
+
 def arr_snapshots(
     indexed: DataFrame,
     dims: Sequence[str] = DIMENSIONS,
@@ -73,14 +92,15 @@ def arr_snapshots(
     """Opening and closing ARR per account and period.
 
     ``densify`` repeats the closing value for the months until the next movement, up to
-    ``through`` (default: the last period in the input), and drops empty months.
+    ``through`` (default: the last period in the input), and has no empty months: intervals are
+    clipped before they are expanded.
     """
-    snapshots = _account_months(indexed, dims, through)
     if densify:
         step, moved = F.col("step"), F.col("step") == 0
-        months = F.sequence(F.lit(0), F.col("next_month") - F.col("month") - 1)
+        months = F.sequence(F.lit(0), F.col("until_month") - F.col("month") - 1)
         snapshots = (
-            snapshots.select("*", F.explode(months).alias("step"))
+            arr_intervals(indexed, dims, through)
+            .select("*", F.explode(months).alias("step"))
             .withColumns(
                 {
                     "billing_period": F.when(moved, F.col("billing_period")).otherwise(
@@ -92,20 +112,19 @@ def arr_snapshots(
                     ),
                 }
             )
-            .drop("step")
+            .drop("step", "until_month")
         )
+    else:
+        snapshots = _account_months(indexed, dims, through).drop("next_month")
     closing = F.col("cumulative_net_new_mrr_cents") * MONTHS_PER_YEAR
     opening = closing - F.col("net_new_mrr_cents") * MONTHS_PER_YEAR
-    snapshots = snapshots.drop("month", "next_month").withColumns(
+    return snapshots.drop("month").withColumns(
         {
             "closing_arr_cents": closing,
             "closing_arr_dollars": dollars(closing),
             "beginning_arr_dollars": dollars(opening),
         }
     )
-    if densify:
-        snapshots = snapshots.filter("closing_arr_dollars <> 0 OR beginning_arr_dollars <> 0")
-    return snapshots
 
 
 def arr_movement(snapshots: DataFrame) -> DataFrame:

@@ -155,6 +155,7 @@ def threshold_scores(
     scored = stats.withColumn(
         "spike_ratio", F.when(usual > 0, F.col(REVENUE) / usual).otherwise(F.lit(1.0))
     ).withColumn("anomaly_severity", _severity(z, F.col("spike_ratio"), z_threshold, multiplier))
+    # The words of the sentence.
     sentence = F.concat(
         F.lit("Segment "), F.col(SEGMENT),
         F.lit(" recorded revenue="), F.col(REVENUE).cast("string"),

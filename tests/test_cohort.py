@@ -151,3 +151,15 @@ def test_dense_matrix_equals_the_matrix_of_dense_snapshots(spark, through):
     fast = cohort.dense_matrix(indexed, DIMS, through=through)
     assert fast.columns == slow.columns and slow.count() > 15
     assert fast.exceptAll(slow).collect() == [] and slow.exceptAll(fast).collect() == []
+
+
+def test_intervals_hold_no_month_without_arr(frame):
+    rows = [("a", "2023-01", 100), ("a", "2023-03", -100), ("a", "2023-08", 50), ("b", "2023-02", 0), ("c", "2023-02", 10), ("c", "2023-02", -10)]
+    indexed = cohort.cohort_index(
+        frame("account_id string, billing_period string, net_new_mrr_cents bigint", *rows).selectExpr("*", "'2023-01' AS cohort_month")
+    )
+    got = {(r.account_id, r.billing_period): r.until_month - r.month for r in cohort.arr_intervals(indexed, [], "2023-12").collect()}
+    assert got == {("a", "2023-01"): 2, ("a", "2023-03"): 1, ("a", "2023-08"): 5}
+    snapshots = cohort.arr_snapshots(indexed, [], through="2023-12")
+    assert snapshots.count() == 8 and "until_month" not in snapshots.columns
+    assert snapshots.where("closing_arr_dollars = 0 AND beginning_arr_dollars = 0").count() == 0
