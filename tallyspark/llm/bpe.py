@@ -13,7 +13,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import plain
+from .common import CACHES, plain, portions
 from .pieces import LONGEST, SPACE, PieceEncoder
 
 
@@ -117,6 +117,7 @@ def codec(path: str, pattern: str) -> tuple[PieceEncoder, list[bytes]]:
     bpe, split = BacktrackingBPE(load_ranks(path)), regex.compile(spelled(pattern))
 
     seen: dict[str, list[int]] = {}
+    CACHES.extend((seen, bpe.pairs))
 
     def match_ids(match: str) -> list[int]:
         ids = seen.get(match)
@@ -153,7 +154,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def run(batches):
         encoder, _ = codec(path, pattern)
-        for batch in batches:
+        for batch in portions(batches, 1, remember=True):
             ids = encoder.encode(plain(batch.column(1)).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
 
@@ -180,13 +181,15 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     def run(batches):
         encoder, table = codec(path, pattern)
         names = [str(i) for i in range(len(table))]
-        for batch in batches:
-            rows = [np.frombuffer(x, "<u4") for x in encoder.encode(plain(batch.column(1)).to_pylist())]
-            lists = [ids.tolist() for ids in rows]
-            written = [hashlib.sha256(",".join(map(names.__getitem__, x)).encode()).hexdigest() for x in lists]
-            back = [hashlib.sha256(decoded(ids, table)).hexdigest() for ids in rows]
+        for batch in portions(batches, 1, remember=True):
+            counts, written, back = [], [], []
+            for data in encoder.encode(plain(batch.column(1)).to_pylist()):
+                ids = np.frombuffer(data, "<u4").tolist()
+                counts.append(len(ids))
+                written.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join(map(table.__getitem__, ids))).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array(written), pa.array(back)],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(written), pa.array(back)],
                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

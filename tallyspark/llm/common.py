@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -91,14 +92,38 @@ def chained(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return mixed(first * np.uint64(0xD6E8FEB86659FD93) ^ second)
 
 
-def portions(batches: Iterator[pa.RecordBatch], text: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in portions of at most ``most`` bytes of text, or one longer
-    row, so that what a task builds from the words of a portion stays small."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        start = 0
-        while start < len(sizes):
-            ends = np.cumsum(sizes[start : start + most], dtype=np.int64)
-            n = max(1, int(np.searchsorted(ends, most, side="right")))
-            yield batch.slice(start, n)
-            start += n
+#: What encoders remember in this worker process; given up when other work begins in it.
+CACHES: list[dict] = []
+_LIBRARY = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task, or for a
+    stage of other work, would keep all that the last one took."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBRARY, "malloc_trim"):
+        _LIBRARY.malloc_trim(0)
+
+
+def portions(
+    batches: Iterator[pa.RecordBatch], text: int, most: int = 2 << 20, rows: int = 2000, remember: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in portions of at most ``rows`` rows and ``most`` bytes of text, or
+    one longer row, so that what a task builds from the words of a portion stays small.
+
+    ``remember`` keeps what encoders remember from the worker's earlier tasks.
+    """
+    if not remember:
+        for cache in CACHES:
+            cache.clear()
+    try:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+            start = 0
+            while start < len(sizes):
+                ends = np.cumsum(sizes[start : start + rows], dtype=np.int64)
+                n = max(1, int(np.searchsorted(ends, most, side="right")))
+                yield batch.slice(start, n)
+                start += n
+    finally:
+        release()

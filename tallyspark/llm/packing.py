@@ -30,7 +30,7 @@ def pieces(
         encoder = library_encoder(path)
         end = int(end_id).to_bytes(encoder.width, "little")
         kind = np.dtype(f"<u{encoder.width}")
-        for batch in portions(batches, 1):
+        for batch in portions(batches, 1, remember=True):
             rows, out = [], []
             for row, ids in enumerate(encoder.encode(plain(batch.column(1)).to_pylist())):
                 tokens = np.frombuffer(ids + end, kind).astype("<u4")

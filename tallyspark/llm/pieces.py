@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 
+from .common import CACHES
+
 #: Unicode white space; Python's own class also holds four control characters.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Letters that end at white space or common punctuation: a match ends there too, and the
@@ -33,11 +35,30 @@ EncodeMany = Callable[[list[str]], Iterable[bytes]]
 class PieceEncoder:
     """Ids of texts as little-endian unsigned integers of ``width`` bytes."""
 
-    def __init__(self, encode_many: EncodeMany, width: int, vocabulary: int = 0) -> None:
+    def __init__(
+        self,
+        encode_many: EncodeMany,
+        width: int,
+        vocabulary: int = 0,
+        special: Sequence[str] = (),
+        encode_whole: Callable[[str], bytes] | None = None,
+    ) -> None:
         self.encode_many, self.width, self.vocabulary = encode_many, width, vocabulary
+        self.special, self.encode_whole = special, encode_whole
         self.known: dict[str, bytes] = {}
+        CACHES.append(self.known)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; one that holds the string of a special token is encoded as a whole."""
+        whole = [i for i, text in enumerate(texts) if any(s in text for s in self.special)]
+        if not whole:
+            return self._by_pieces(texts)
+        out = self._by_pieces(["" if i in set(whole) else text for i, text in enumerate(texts)])
+        for i in whole:
+            out[i] = self.encode_whole(texts[i])
+        return out
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
         known, cut = self.known, [PIECES.findall(text) for text in texts]
         if len(known) > REMEMBERED:
             known.clear()
@@ -56,7 +77,7 @@ def _library_encoder(path: str, together: int = 200) -> PieceEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     size = tokenizer.get_vocab_size(with_added_tokens=True)
     width = 2 if size <= 1 << 16 else 4
     kind = np.dtype(f"<u{width}")
@@ -84,7 +105,10 @@ def _library_encoder(path: str, together: int = 200) -> PieceEncoder:
             out[i] = np.array(found, kind).tobytes()
         return out
 
-    return PieceEncoder(encode_many, width, size)
+    def encode_whole(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+
+    return PieceEncoder(encode_many, width, size, special, encode_whole)
 
 
 @lru_cache(maxsize=2)

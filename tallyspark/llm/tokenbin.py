@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import park, plain
+from .common import park, plain, portions
 from .pieces import library_encoder
 
 STRIDE, BLOCK, LIMIT = 256, 1 << 19, 20
@@ -127,7 +127,7 @@ def token_ids(
         encoder = library_encoder(path)
         end = int(end_id).to_bytes(encoder.width, "little")
         before = 0
-        for batch in batches:
+        for batch in portions(batches, 1, remember=True):
             ids = [x + end for x in encoder.encode(plain(batch.column(1)).to_pylist())]
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // encoder.width
             start = before + np.cumsum(n) - n

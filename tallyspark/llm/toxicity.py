@@ -8,6 +8,7 @@ from string import punctuation
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import chained, hashed, mixed, plain, portions, words_of
 
@@ -136,7 +137,8 @@ def score(
     A null or empty text gets the probability of the bias; texts of any length count whole;
     repeated rows get equal scores; an empty table stays empty; other columns pass through.
     """
-    kept = [c for c in docs.columns if c != to]
+    fields = [f for f in docs.schema if f.name != to]
+    kept = [f.name for f in fields]
     place = kept.index(text_col)
     known = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -149,6 +151,5 @@ def score(
             scores = [sigmoid(bias + float(dense[x].sum(dtype=np.float64))) for x in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*kept, to])
 
-    fields = [f for f in docs.schema if f.name in kept]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, f"{schema}, `{to}` double")
+    schema = StructType([*fields, StructField(to, DoubleType())])
+    return docs.select(*[F.col(f"`{c.replace('`', '``')}`") for c in kept]).mapInArrow(run, schema)

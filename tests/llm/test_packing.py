@@ -28,7 +28,6 @@ def sequential(lengths, capacity):
 
 def check(rows, found, capacity=1024):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for i, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]

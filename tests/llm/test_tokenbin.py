@@ -15,7 +15,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
@@ -94,3 +93,10 @@ def test_query(spark, library):
 
     found = sorted(map(tuple, op5_token_files(spark, cases.DATA).collect()))
     assert found == expected(library, cases.documents(spark))
+
+
+def test_strings_of_special_tokens_as_the_library_reads_them(spark, library):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 3), (3, "x<|endof text|>"), (4, " <|endoftext|>\n\n y"), (5, "plain text")]
+    assert library(rows[0][1]) == [64, 220, 50256, 275, 2]
+    blocks, _ = tokenbin.write(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
+    assert sorted(map(tuple, tokenbin.read(blocks).collect())) == expected(library, rows)

@@ -95,3 +95,9 @@ def test_query(spark):
         i: zlib.crc32(str(i).encode()) % 5 == 0 for i, _ in cases.documents(spark)
     }
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in found)
+
+
+def test_columns_of_any_name_pass_through(spark):
+    docs = spark.sql("select 1L doc_id, 'a b' text, 2 `my col`, named_struct('a b', 1, 'c`d', 2) `meta:url`, 'x' __text")
+    scored = toxicity.score(docs, toxicity.train(docs, spark.createDataFrame([(1, 1)], "doc_id long, toxic int")))
+    assert scored.columns == [*docs.columns, "score"] and scored.first()[:5] == docs.first()[:5]
