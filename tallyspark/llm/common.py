@@ -116,6 +116,7 @@ def portions(
     if not remember:
         for cache in CACHES:
             cache.clear()
+        release()
     try:
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

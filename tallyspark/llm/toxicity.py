@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import chained, hashed, mixed, plain, portions, words_of
+from .common import chained, hashed, mixed, plain, portions, release, words_of
 
 BITS, SAMPLE_ROWS = 20, 20_000
 
@@ -115,6 +115,8 @@ def train(
             rows += [np.frombuffer(x, np.int32) for x in batch.column(2).to_pylist()]
             labels += batch.column(0).to_pylist()
         used, weights, bias = learner.fit(rows, np.array(labels, np.float64))
+        del rows, labels
+        release()
         yield pa.RecordBatch.from_arrays(
             [pa.array([used.tobytes()]), pa.array([weights.tobytes()]), pa.array([bias])], names=["used", "weights", "bias"]
         )
