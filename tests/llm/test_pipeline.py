@@ -35,7 +35,7 @@ def test_stages_against_brute_force(spark):
 
     clean = pipeline.park(stages["substring_dedup"](spark, single, cases.DATA))
     want = spans_brute(rows_of(single))
-    assert rows_of(clean) == sorted((i, t) for (i, _), t in want.items() if t)
+    assert rows_of(clean) == sorted((i, t) for i, _, t in want if t)
     assert all(r.n_chars == len(r.text) for r in clean.collect())
 
     for stage in (calm, good, single, clean):
@@ -59,4 +59,4 @@ def test_only_texts_emptied_by_the_stage_go(spark):
     docs = cases.odd(spark, extra=False)
     left = dict(pipeline.STAGES)["substring_dedup"](spark, docs, cases.DATA).collect()
     assert {1: None, 2: ""}.items() <= {r.doc_id: r.text for r in left}.items()
-    assert sorted(str(r.doc_id) for r in left) == sorted(str(i) for i, _ in cases.ODD if i != 9)
+    assert sorted(str(r.doc_id) for r in left) == sorted([*(str(i) for i, _ in cases.ODD if i not in (7, 9)), "7"])
