@@ -32,8 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages; ``n_chars`` follows the text. Documents of which
     nothing is left go; those that held nothing before stay."""
-    full = F.coalesce(F.col("text") != "", F.lit(False))
-    left = spans.dedup(docs.withColumn("__full", full)).where(~F.col("__full") | (F.col("text") != "")).drop("__full")
+    left = spans.dedup(docs, drop_emptied=True)
     if "n_chars" in left.columns:
         left = left.withColumn("n_chars", F.length("text").cast(left.schema["n_chars"].dataType)).select(*docs.columns)
     return left
