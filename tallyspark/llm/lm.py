@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import chained, hashed, mixed, park, plain, words_of
+from .common import chained, hashed, mixed, park, plain, release, words_of
 
 ORDER = 3
 #: Bytes of text in a block and for each bucket.
@@ -47,8 +47,13 @@ class Grams:
 
 def distincts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values, and the place of each value among them."""
-    coded = pa.array(values).dictionary_encode()
-    return coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order = np.argsort(values)
+    ranged = values[order]
+    first = np.ones(len(values), bool)
+    np.not_equal(ranged[1:], ranged[:-1], out=first[1:])
+    places = np.empty(len(values), np.int64)
+    places[order] = np.cumsum(first) - 1
+    return ranged[first], places
 
 
 def grams(texts: list[str], train: np.ndarray, order: int) -> Grams:
@@ -102,23 +107,37 @@ def singletons(found: Grams, counts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def falling(rates: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weighted least-squares fit of ``rates`` that never rises (pooled neighbours)."""
+    pools: list[list[float]] = []
+    for rate, weight in zip(rates, weights, strict=True):
+        pools.append([rate, weight, 1])
+        while len(pools) > 1 and pools[-2][0] < pools[-1][0]:
+            (r, w, n), (s, v, m) = pools[-2:]
+            pools[-2:] = [[(r * w + s * v) / (w + v), w + v, n + m]]
+    return np.repeat([p[0] for p in pools], [int(p[2]) for p in pools])
+
+
 def escape_curve(histogram: np.ndarray) -> np.ndarray:
     """Probability that a context's next token is new there, by magnitude of its count.
 
     Leave-one-out: of a context with one token taken away, the token taken is new with the
-    share of singletons. Beyond the magnitudes with enough tokens the curve goes on as the power
-    law of its last ones.
+    share of singletons. The shares of all magnitudes that occur, each weighted by its tokens,
+    are fitted by a curve that never rises; beyond them it goes on as the power law of its last
+    ones. Without any context of two tokens it is one half.
     """
     curve = np.full(histogram.shape[:2], 0.5)
     for k in range(1, len(histogram)):
         tokens, single = histogram[k, :, 0].astype(float), histogram[k, :, 1].astype(float)
-        known = np.flatnonzero((tokens >= 200) & (np.arange(BINS) >= 1))
+        known = np.flatnonzero((tokens > 0) & (np.arange(BINS) >= 1))
         if not len(known):
             continue
-        rate = (single[known] + 0.5) / (tokens[known] + 1.0)
+        weight = tokens[known] + 1.0
+        rate = falling((single[known] + 0.5) / weight, weight)
         log = np.interp(np.arange(BINS), known, np.log(rate))
-        if len(known) >= 3:
-            slope = min(0.0, float(np.polyfit(known[-4:], np.log(rate[-4:]), 1)[0]))
+        if len(known) > 1:
+            last = slice(-4, None)
+            slope = min(0.0, float(np.polyfit(known[last], np.log(rate[last]), 1, w=np.sqrt(weight[last]))[0]))
             beyond = np.arange(BINS) > known[-1]
             log[beyond] = np.log(rate[-1]) + slope * (np.arange(BINS)[beyond] - known[-1])
         curve[k] = np.clip(np.exp(log), 1e-6, 0.999)
@@ -203,9 +222,15 @@ def _layout(found: Grams, buckets: int) -> tuple[list[tuple[np.ndarray, np.ndarr
     longer = np.concatenate(found.keys[1:]) if len(found.keys) > 1 else np.zeros(0, np.uint64)
     for keys, mask in ((found.keys[0], None), (longer, LOW40)):
         bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
-        inner = keys if mask is None else keys & mask
-        order = np.lexsort((inner, bucket))
-        out.append((order, inner[order], np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))))
+        if mask is None:
+            order = np.lexsort((keys, bucket))
+            inner, bucket = keys[order], bucket[order]
+        else:  # a bucket's number fits the upper 24 bits
+            both = bucket << np.uint64(40) | keys & mask
+            order = np.argsort(both)
+            both = both[order]
+            inner, bucket = both & mask, both >> np.uint64(40)
+        out.append((order, inner, np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))))
     return out
 
 
@@ -272,10 +297,13 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
             if held and keys[start] != now:
                 yield now, held
                 held.clear()
+                release()
             now = int(keys[start])
             held += batch.slice(start, end - start).to_pylist()
     if held:
         yield now, held
+    held.clear()
+    release()
 
 
 RESULT = "train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
