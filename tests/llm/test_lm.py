@@ -142,3 +142,16 @@ def test_query_beats_the_base_on_held_out_texts(spark):
         words = tokens(t)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(count[w] > 0 for w in words), n)
         assert r.base_score == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in words), rel=1e-9)
+
+
+def test_the_escape_curve_treats_all_sizes_alike():
+    rates, weights = np.array([0.5, 0.6, 0.2, 0.3, 0.3, 0.1]), np.array([9.0, 1.0, 4.0, 4.0, 8.0, 2.0])
+    fit = lm.falling(rates, weights)
+    assert fit == pytest.approx([0.51, 0.51, 0.275, 0.275, 0.275, 0.1])
+    counted = np.zeros((2, lm.BINS, 2), np.int64)
+    counted[1, 1:9, 0], counted[1, 1:9, 1] = 64, [32, 30, 33, 20, 16, 12, 8, 4]
+    small, large = lm.escape_curve(counted)[1], lm.escape_curve(counted * 1000)[1]
+    assert np.abs(small - large).max() < 0.02
+    for curve in (small, large):
+        assert (np.diff(curve) <= 0).all() and 0 < curve[-1] < curve[8]
+    assert (lm.escape_curve(np.zeros((3, lm.BINS, 2), np.int64)) == 0.5).all()
