@@ -5,7 +5,11 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tallyspark.operators.ranks import row_numbers
+
+from .common import park
 
 
 def ring(shards: int, replicas: int, slots: int) -> tuple[list[int], list[int]]:
@@ -82,7 +86,9 @@ def shard(
     A row's place on the ring is a hash of its id. Rows wait for their arc's shard in ring
     order (hash, id, text checksum, size); those beyond its capacity continue clockwise. With
     ``slack=0`` shard sizes differ by at most one row; with more slack fewer rows move when
-    shards are added. The driver sees one count per arc (``shards * replicas`` at most).
+    shards are added. The driver sees one count per arc (``shards * replicas`` at most). Ranks
+    come from range-sorted slices, so an arc, an id or a text with a third of all rows fills
+    many of them; a tie-breaker parts even equal rows, whose ranks do not matter.
 
     A null text has no bytes (size 16, checksum 0); a null id is a key like any other;
     repeated rows are placed one by one; an empty table gives no rows; other columns are not
@@ -92,22 +98,22 @@ def shard(
     owners, arc_of = ring(shards, replicas, slots)
     place = F.xxhash64(F.col(id_col))
     arcs = F.split(F.lit(",".join(map(str, arc_of))), ",").cast("array<int>")
-    keys = docs.withColumns(
-        {"__place": place, "__arc": F.element_at(arcs, F.pmod(place, F.lit(slots)).cast("int") + 1)}
+    data = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    rows = park(
+        docs.select(
+            F.col(id_col).alias("__id"),
+            F.element_at(arcs, F.pmod(place, F.lit(slots)).cast("int") + 1).alias("__arc"),
+            place.alias("__place"),
+            (F.octet_length(data).cast("long") + 16).alias("__size"),
+            F.crc32(data).alias("__crc"),
+            F.monotonically_increasing_id().alias("__tie"),
+        )
     )
-    counts = {r[0]: r[1] for r in keys.groupBy("__arc").count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy("__arc").count().collect()}
     runs = walk(counts, owners, capacities(sum(counts.values()), shards, slack))
     table = spark.createDataFrame(runs, "arc int, first long, n long, shard int, slot0 long")
-    data = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
-    rows = keys.select(
-        F.col(id_col).alias("__id"),
-        "__arc",
-        "__place",
-        (F.octet_length(data).cast("long") + 16).alias("__size"),
-        F.crc32(data).alias("__crc"),
-    )
-    order = Window.partitionBy("__arc").orderBy("__place", "__id", "__crc", "__size")
-    rows = rows.withColumn("__rank", F.row_number().over(order).cast("long") - 1)
+    order = [F.col(c).asc_nulls_first() for c in ("__place", "__id", "__crc", "__size", "__tie")]
+    rows = row_numbers(rows, ["__arc"], order, "__rank").withColumn("__rank", F.col("__rank").cast("long") - 1)
     here = (
         (F.col("__arc") == F.col("arc"))
         & (F.col("__rank") >= F.col("first"))

@@ -51,6 +51,50 @@ def test_one_text_for_a_third_of_rows(spark):
     check(rows, sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 7).collect(), 7)
 
 
+def brute(rows, shards, replicas=32, slots=4096):
+    """(id, size, checksum, shard, slot) by walking the ring row by row. ``rows``: (id, text, place)."""
+    owners, arc_of = sharding.ring(shards, replicas, slots)
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    kept = sorted(
+        (
+            (place, -1 if i is None else i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 16, i)
+            for i, t, place in rows
+        ),
+        key=lambda r: r[:4],
+    )
+    waiting = {arc: [] for arc in range(len(owners))}
+    for r in kept:
+        waiting[arc_of[r[0] % slots]].append(r)
+    filled, out = [0] * shards, []
+    while any(waiting.values()):
+        onward = {arc: [] for arc in waiting}
+        for arc in sorted(waiting):
+            for place, _, crc, size, i in waiting[arc]:
+                shard = owners[arc]
+                if filled[shard] < room[shard]:
+                    out.append((i, size, crc, shard, filled[shard]))
+                    filled[shard] += 1
+                else:
+                    onward[(arc + 1) % len(owners)].append((place, -1 if i is None else i, crc, size, i))
+        waiting = onward
+    return out
+
+
+def test_every_row_against_a_walk_of_single_rows(spark):
+    rows = [(None if i % 3 == 0 else i % 250, f"t{i % 11}" if i % 5 else None) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = [tuple(r) for r in docs.selectExpr("doc_id", "text", "xxhash64(doc_id)").collect()]
+    for shards in (7, 40):
+        found = Counter(tuple(r) for r in sharding.shard(docs, shards).collect())
+        assert found == Counter(brute(placed, shards))
+
+
+def test_rows_of_one_id_fill_many_slices(spark):
+    rows = [(5 if i % 3 == 0 else i, "same" if i % 3 == 0 else f"t{i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    check(rows, sharding.shard(docs, 7).collect(), 7)
+
+
 @cases.needs_data
 def test_query(spark):
     from tallyspark.llm.queries import op10_sharding
