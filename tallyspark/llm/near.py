@@ -7,6 +7,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tallyspark.operators.skew import skew_join
+
 from .common import chained, hashed, mixed, park, plain, portions, words_of
 from .components import components
 
@@ -109,6 +111,13 @@ def _close_sizes(one: str, other: str, percent: int) -> F.Column:
     return 100 * F.least(one, other) >= percent * F.greatest(one, other)
 
 
+def _both(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """(a, b, x, y): parked ``pairs`` with the ``value`` of either end. The centre of a large group
+    is ``a`` of very many pairs; they are dealt to several tasks, with its value for each."""
+    x, y = (values.select(F.col("id").alias(end), F.col("value").alias(v)) for end, v in (("a", "x"), ("b", "y")))
+    return skew_join(pairs, x, "a", ["b"]).join(y, "b")
+
+
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sketches agree often enough."""
 
@@ -119,10 +128,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             )
             yield batch.filter(pa.array((x == y).sum(1) >= AGREE)).select([0, 1])
 
-    side = nodes.select("id", "sketch")
-    both = pairs.join(side.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a").join(
-        side.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b"
-    )
+    both = _both(pairs, nodes.select("id", F.col("sketch").alias("value")))
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -140,11 +146,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, siz
             yield batch.filter(pa.array(hit, pa.bool_())).select([0, 1])
 
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = park(texts.join(ids, "id", "left_semi"))
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b"
-    )
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("value"))
+    both = _both(pairs, park(texts.join(ids, "id", "left_semi")))
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -194,8 +197,11 @@ def _rare_pairs(
         .select("id", "n", "s", (F.col("rank") < F.col("small")).alias("small"), (F.col("n") - F.col("rank")).alias("rest"))
     )
     rare = park(rare.join(members, "id"))
-    main = rare.groupBy("s").agg(F.mode("label", True).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    rare = park(rare.join(main.where("lo < hi").select("s", "main"), "s"))
+    # Counted by shingle and label first: no task holds all labels of a common shingle.
+    of_label = rare.groupBy("s", "label").agg(F.count("*").alias("c"))
+    most = F.max_by("label", F.struct(F.col("c"), -F.col("label"))).alias("main")
+    main = of_label.groupBy("s").agg(most, F.count("*").alias("labels"))
+    rare = park(rare.join(main.where("labels > 1").select("s", "main"), "s"))
     x, y = rare.where("small").alias("x"), rare.alias("y")
     across = (
         (F.col("x.s") == F.col("y.s"))
@@ -233,7 +239,7 @@ def links(
         .select("a", F.col("id").alias("b"))
         .distinct()
     )
-    stars = park(_likely(stars, nodes))
+    stars = park(_likely(park(stars), nodes))
     first = park(_verified(stars, docs, id_col, text_col, size, percent))
     labels = components(first).withColumnRenamed("node", "id")
     labelled = shared.select("band", "id").join(labels, "id", "left")
@@ -241,7 +247,7 @@ def links(
     several = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     members = park(labelled.join(several, "band", "left_semi").select("id", "label").distinct())
     pairs = _rare_pairs(members, docs, id_col, text_col, size, percent).join(stars, ["a", "b"], "left_anti")
-    pairs = park(_likely(pairs, nodes))
+    pairs = park(_likely(park(pairs), nodes))
     return first.unionByName(_verified(pairs, docs, id_col, text_col, size, percent))
 
 
