@@ -826,6 +826,15 @@ FINALS |= {
         CAST(NULL AS VARCHAR) AS csm_owner, CAST(NULL AS VARCHAR) AS industry_vertical,
         CAST(NULL AS VARCHAR) AS geo_region, CAST(NULL AS VARCHAR) AS first_paid_date,
         min(billing_period) OVER (PARTITION BY account_id) AS cohort_month FROM moves m)""",
+    "recognised_by_slice": f"""
+      SELECT l.cohort_month, l.billing_period, l.cohort_index, l.geo_region, l.total_closing_arr_dollars,
+        e.total_recognised_revenue
+      FROM logos l LEFT JOIN (
+        SELECT cohort_month, allocated_period, geo_region,
+          {tot('recognised_in_period_dollars')} AS total_recognised_revenue
+        FROM statuses WHERE recognition_status IN ('recognised', 'current') GROUP BY 1, 2, 3) e
+      ON l.cohort_month = e.cohort_month AND l.billing_period = e.allocated_period
+        AND l.geo_region IS NOT DISTINCT FROM e.geo_region""",
     "worst_mismatches": FINALS["waterfall_recon"] + " LIMIT 10",
     "implausible_sample": f"SELECT {KEYS}, nrr_point_in_time, total_beginning_arr_dollars FROM pit"
     " WHERE nrr_point_in_time > 3 OR nrr_point_in_time < 0"

@@ -753,6 +753,17 @@ def logo_as_written(spark, sf_dir):
     )
 
 
+@query
+def recognised_by_slice(spark, sf_dir):
+    rows = park(_ledger(spark, sf_dir))
+    allocated = allocation.allocate_revenue(
+        rows, inputs.AS_OF, inputs.contract_schedule(spark, sf_dir)
+    )
+    return retention.recognised_revenue(_matrix_of(rows), allocated, dims=DIMS).select(
+        *KEYS, "total_closing_arr_dollars", "total_recognised_revenue"
+    )
+
+
 @query
 def worst_mismatches(spark, sf_dir):
     return rounded(waterfall.mismatches(_bare_waterfall(spark, sf_dir), limit=10))

@@ -70,15 +70,29 @@ def logo_retention(matrix: DataFrame, mode: str = "counted") -> DataFrame:
 
 
 def recognised_revenue(
-    matrix: DataFrame, allocated: DataFrame, measure: str = "recognised_in_period_dollars"
+    matrix: DataFrame,
+    allocated: DataFrame,
+    measure: str = "recognised_in_period_dollars",
+    dims: Sequence[str] = (),
 ) -> DataFrame:
-    """Earned revenue per cohort and period, aggregated before the left join."""
+    """Earned revenue per cohort and period, aggregated before the left join.
+
+    Without ``dims`` every slice of a cohort shows the whole cohort's revenue, which must not be
+    added up over slices. With the matrix's ``dims`` each slice shows its own; a NULL attribute is
+    a slice like any other.
+    """
+    keys = ["cohort_month", "billing_period", *dims]
     earned = (
         allocated.filter(F.col("recognition_status").isin(*EARNED))
-        .groupBy("cohort_month", F.col("allocated_period").alias("billing_period"))
+        .withColumn("billing_period", F.col("allocated_period"))
+        .groupBy(*keys)
         .agg(total(measure).alias("total_recognised_revenue"))
     )
-    return matrix.join(earned, ["cohort_month", "billing_period"], "left")
+    if not dims:
+        return matrix.join(earned, keys, "left")
+    same = [F.col(f"m.{k}") == F.col(f"e.{k}") for k in keys[:2]]
+    same += [F.col(f"m.{k}").eqNullSafe(F.col(f"e.{k}")) for k in dims]
+    return matrix.alias("m").join(earned.alias("e"), same, "left").select("m.*", "e.total_recognised_revenue")
 
 
 def quality_filter(metrics: DataFrame, min_accounts: int = MIN_ACCOUNTS) -> DataFrame:
@@ -106,7 +120,9 @@ def retention_metrics(
     dims: Sequence[str] = DIMENSIONS,
     min_accounts: int = MIN_ACCOUNTS,
     measure: str = "recognised_in_period_dollars",
+    revenue_dims: Sequence[str] = (),
 ) -> DataFrame:
-    """Cohort matrix to the reported retention table."""
+    """Cohort matrix to the reported retention table. ``revenue_dims``: the matrix's dimensions
+    for each slice's own recognised revenue, none for that of the whole cohort."""
     measured = logo_retention(rolling_nrr(point_in_time(matrix), dims))
-    return quality_filter(recognised_revenue(measured, allocated, measure), min_accounts)
+    return quality_filter(recognised_revenue(measured, allocated, measure, revenue_dims), min_accounts)

@@ -283,13 +283,16 @@ def retention_job(
     min_accounts: int = retention.MIN_ACCOUNTS,
     run_id: str | None = None,
     history_path: str | None = None,
+    revenue_by_slice: bool = False,
 ) -> DataFrame:
-    """Writes the retention table; returns its rows with an implausible NRR."""
+    """Writes the retention table; returns its rows with an implausible NRR. Recognised revenue is
+    that of the whole cohort in each of its slices, or with ``revenue_by_slice`` the slice's own."""
     metrics = retention.retention_metrics(
         readers.read_table(spark, matrix_path),
         readers.read_table(spark, allocated_path),
         dims,
         min_accounts,
+        revenue_dims=dims if revenue_by_slice else (),
     )
     written = write_table(metrics, "nrr_metrics", output_path, run_id, allow_missing=True)
     odd = retention.implausible_nrr(readers.read_table(spark, output_path, run_id=run_id))

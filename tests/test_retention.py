@@ -76,6 +76,25 @@ def test_recognised_revenue(frame):
     assert cumulative[1]["total_recognised_revenue"] == 30.0
 
 
+def test_recognised_revenue_by_slice_adds_up(frame):
+    slices = "cohort_month string, billing_period string, geo_region string"
+    matrix = frame(slices, *[("2024-01", "2024-02", g) for g in ("EU", "US", None)], ("2024-01", "2024-03", "EU"))
+    alloc = frame(
+        "cohort_month string, allocated_period string, geo_region string, recognition_status string,"
+        " recognised_in_period_dollars double",
+        *[("2024-01", "2024-02", g, "recognised", x) for g, x in (("EU", 1.1), ("EU", 2.2), ("US", 5.0), (None, 7.0))],
+        ("2024-01", "2024-03", "EU", "future", 9.0),
+    )
+    got = retention.recognised_revenue(matrix, alloc, dims=["geo_region"])
+    assert got.columns == [*matrix.columns, "total_recognised_revenue"]
+    found = {(r.billing_period, r.geo_region): r.total_recognised_revenue for r in got.collect()}
+    assert found == {
+        ("2024-02", "EU"): 3.3, ("2024-02", "US"): 5.0, ("2024-02", None): 7.0, ("2024-03", "EU"): None
+    }
+    whole = retention.recognised_revenue(matrix, alloc).where("billing_period = '2024-02'").collect()
+    assert {r.total_recognised_revenue for r in whole} == {15.3}
+
+
 def test_quality_filter(frame):
     df = frame(MATRIX, cell(1, accounts=2), cell(2, accounts=3), cell(3, begin=0.0))
     assert [r.cohort_index for r in retention.quality_filter(df).collect()] == [2]
