@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyspark.operators.skew import skew_join
+from tallyspark.operators.skew import heavy_keys, skew_join
 
 from .common import chained, hashed, mixed, park, plain, portions, words_of
 from .components import components
@@ -201,18 +201,22 @@ def _rare_pairs(
     of_label = rare.groupBy("s", "label").agg(F.count("*").alias("c"))
     most = F.max_by("label", F.struct(F.col("c"), -F.col("label"))).alias("main")
     main = of_label.groupBy("s").agg(most, F.count("*").alias("labels"))
-    rare = park(rare.join(main.where("labels > 1").select("s", "main"), "s"))
-    x, y = rare.where("small").alias("x"), rare.alias("y")
+    # A shingle of very many rows is dealt to several tasks in both joins.
+    rare = park(skew_join(rare, main.where("labels > 1").select("s", "main"), "s", ["id"]))
+    heavy = heavy_keys(rare, "s", 0.5 / int(rare.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    x = rare.where("small").select("s", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "label", "rest", "main")])
+    y = rare.select("s", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "label", "rest", "main")])
     across = (
-        (F.col("x.s") == F.col("y.s"))
-        & (F.col("x.label") != F.col("y.label"))
-        & (F.col("x.n") <= F.col("y.n"))
-        & (100 * F.col("x.n") >= percent * F.col("y.n"))
+        (F.col("x_label") != F.col("y_label"))
+        & (F.col("x_n") <= F.col("y_n"))
+        & (100 * F.col("x_n") >= percent * F.col("y_n"))
         # From their first common shingle on, both must hold enough for the overlap needed.
-        & ((100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.n") + F.col("y.n")))
+        & ((100 + percent) * F.least("x_rest", "y_rest") >= percent * (F.col("x_n") + F.col("y_n")))
     )
-    found = x.where("label <> main").join(y, across).select("x.id", F.col("y.id").alias("b"))
-    found = found.unionByName(x.join(y.where("label <> main"), across).select("x.id", F.col("y.id").alias("b")))
+    ends = F.col("x_id").alias("id"), F.col("y_id").alias("b")
+    found = skew_join(y, x.where("x_label <> x_main"), "s", ["y_id"], heavy=heavy).where(across).select(*ends)
+    others = skew_join(x, y.where("y_label <> y_main"), "s", ["x_id"], heavy=heavy).where(across).select(*ends)
+    found = found.unionByName(others)
     return found.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
