@@ -916,9 +916,10 @@ def stored_waterfall(spark, sf_dir):
 
 @query
 def ledger_batches(spark, sf_dir):
-    # Three batches without order in time, so that each holds late events.
-    events, path = inputs.billing_events(spark, sf_dir), inputs.landing_folder(spark)
-    metadata = inputs.account_metadata(spark, sf_dir)
+    # Three batches without order in time, so that each holds late events. What all of them
+    # read is written once.
+    events, path = park(inputs.billing_events(spark, sf_dir)), inputs.landing_folder(spark)
+    metadata = park(inputs.account_metadata(spark, sf_dir))
     for i in range(3):
         batch = events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i)
         apply_batch(spark, batch, f"{path}/state", f"{path}/ledger", metadata)

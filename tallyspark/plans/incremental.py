@@ -15,7 +15,6 @@ DAY_COLUMNS = [
     "event_id", "subscription_id", "account_id", "event_type", "event_ts", "created_at", "plan_id",
     "billing_interval", "country_code", "mrr_before_safe", "mrr_after_safe", "mrr_delta_cents", "billing_period",
 ]
-PAIR = ["subscription_id", "billing_period"]
 DIMENSION = [*[f.name for f in ACCOUNT_METADATA if f.name != "account_id"], "cohort_month"]
 
 
@@ -47,9 +46,10 @@ def apply_batch(
     one mutation kept of each subscription and day, by month, and one row per account: its first
     event, its attributes and its months. A batch reads and rewrites only the months it touches:
 
-    * the subscription-months of its events are found by a semi join and worked out again from
-      their days; other rows of these months are carried over;
-    * accounts whose cohort month or attributes changed get them in all their months.
+    * the days of the months of its events are taken together with its events in one exchange,
+      and the ledger of these months is worked out from the days as published: no row is looked
+      up in a list of what the batch holds, so a batch of any size costs its months alone;
+    * other months in which accounts have changed cohort month or attributes get them.
 
     The accounts are published last: when a batch fails before that, its repetition finds the
     same work to do. Returns the counts of the batch.
@@ -57,13 +57,15 @@ def apply_batch(
     days_path, accounts_path = f"{state_path}/days", f"{state_path}/accounts"
     batch = park(ledger.mrr_delta(ledger.valid_events(events)).select(*DAY_COLUMNS))
     periods = _periods(batch)
-    pairs = park(batch.select(*PAIR).distinct())
+    by_month = ["billing_period"]
 
     day_schema = ledger.one_per_day(batch.limit(0), keep).schema
-    known = _stored(spark, days_path, day_schema, periods)
-    again = known.join(pairs, PAIR, "left_semi").select(*DAY_COLUMNS)
-    days = park(ledger.one_per_day(again.unionByName(batch), keep))
-    untouched = known.join(pairs, PAIR, "left_anti").select(*days.columns)
+    known = _stored(spark, days_path, day_schema, periods).select(*DAY_COLUMNS)
+    days = ledger.one_per_day(known.unionByName(batch), keep)
+    written = {
+        "days": publish.publish(days.hint("rebalance", *by_month), days_path, by_month, "partitions", run_id)
+    }
+    days = _stored(spark, days_path, day_schema, periods)
 
     firsts = batch.groupBy("account_id").agg(
         F.min("event_ts").alias("event_ts"), F.collect_set("billing_period").alias("months")
@@ -89,25 +91,20 @@ def apply_batch(
 
     net = ledger.movement_type(ledger.period_net(days))
     rows = net.join(accounts.select("account_id", *DIMENSION), "account_id", "left").select(*LEDGER_COLUMNS)
-    stored = _stored(spark, ledger_path, rows.schema, touched).join(pairs, PAIR, "left_anti")
-    if touched != periods or not changed.isEmpty():
-        others = [c for c in LEDGER_COLUMNS if c not in DIMENSION]
+    others = [m for m in touched if m not in periods]
+    if others:
         new = changed.select("account_id", F.lit(True).alias("__changed"), *[F.col(c).alias(f"__{c}") for c in DIMENSION])
-        stored = stored.join(new, "account_id", "left").select(
-            *others, *[F.when(F.col("__changed"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in DIMENSION]
+        stored = _stored(spark, ledger_path, rows.schema, others).join(new, "account_id", "left")
+        same_columns = [c for c in LEDGER_COLUMNS if c not in DIMENSION]
+        stored = stored.select(
+            *same_columns, *[F.when(F.col("__changed"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in DIMENSION]
         )
-    ledger_rows = rows.unionByName(stored.select(*LEDGER_COLUMNS))
+        rows = rows.unionByName(stored.select(*LEDGER_COLUMNS))
 
-    by_month = ["billing_period"]
-    written = {
-        "days": publish.publish(
-            untouched.unionByName(days).hint("rebalance", *by_month), days_path, by_month, "partitions", run_id
-        ),
-        "mrr_events": publish.publish(
-            ledger_rows.hint("rebalance", *by_month), ledger_path, by_month, "partitions", run_id
-        ),
-        "accounts": publish.publish(accounts, accounts_path, (), "all", run_id),
-    }
+    written["mrr_events"] = publish.publish(
+        rows.hint("rebalance", *by_month), ledger_path, by_month, "partitions", run_id
+    )
+    written["accounts"] = publish.publish(accounts, accounts_path, (), "all", run_id)
     counts = {f"{name}_rows": float(v.row_count) for name, v in written.items()}
     counts |= {"touched_periods": float(len(touched)), "changed_accounts": float(changed.count())}
     if history_path is not None:

@@ -92,10 +92,12 @@ def read(spark: SparkSession, path: str, number: int | None = None, run_id: str
 
 def _file_nodes(stored: DataFrame, write: str) -> DataFrame:
     """Rows and checksum of each file of a write, with the partition folder it lies in."""
-    inside = F.regexp_extract(F.col("_metadata.file_path"), f"/write={write}/(.*)$", 1)
+    # The names are worked out of one row a file, not of each of its rows.
+    counted = quality.manifest(stored.withColumn("__path", F.col("_metadata.file_path")), stored.columns, ["__path"])
+    inside = F.regexp_extract("__path", f"/write={write}/(.*)$", 1)
     inside = F.url_decode(F.replace(inside, F.lit("+"), F.lit("%2B")))  # an address as a file name
-    counted = quality.manifest(stored.withColumn("file", inside), stored.columns, ["file"])
-    return counted.withColumn("partition", F.regexp_replace("file", "/?[^/]*$", ""))
+    named = counted.select(inside.alias("file"), "row_count", "checksum")
+    return named.withColumn("partition", F.regexp_replace("file", "/?[^/]*$", ""))
 
 
 def stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[str, list[str], dict]:

@@ -98,3 +98,17 @@ def test_changed_metadata_reaches_old_months(spark, frame, tmp_path):
     incremental.apply_batch(spark, frame(BILLING_EVENTS, *rows[:2]), state, out, old)
     incremental.apply_batch(spark, frame(BILLING_EVENTS, *rows[2:]), state, out, new)
     same_rows(readers.read_table(spark, out), ledger.mrr_ledger(frame(BILLING_EVENTS, *rows), new))
+
+
+def test_rows_are_looked_up_by_account_only(spark, frame, tmp_path, monkeypatch):
+    """No wide row of the days or the ledger meets a list of the batch's subscription-months."""
+    state, out = str(tmp_path / "state"), str(tmp_path / "ledger")
+    first = [event(i, f"s{i % 2}", "a", datetime(2023, 3 + i % 3, 5 + i)) for i in range(9)]
+    late = [event(20, "s0", "a", datetime(2023, 3, 2)), event(21, "s9", "b", datetime(2023, 4, 2))]
+    incremental.apply_batch(spark, frame(BILLING_EVENTS, *first), state, out)
+    kind, joined = type(spark.range(1)), []
+    real = kind.join
+    monkeypatch.setattr(kind, "join", lambda self, other, on=None, how=None: joined.append(on) or real(self, other, on, how))
+    incremental.apply_batch(spark, frame(BILLING_EVENTS, *late), state, out)
+    assert set(map(str, joined)) == {"account_id"}
+    same_rows(readers.read_table(spark, out), ledger.mrr_ledger(frame(BILLING_EVENTS, *first, *late)))

@@ -167,3 +167,14 @@ def test_the_log_is_plain_text(spark, frame, tmp_path):
     made = publish.publish(frame(ROWS, ("d1", "a", 1)), str(path), metrics={"total": 1.0})
     logged = json.loads((path / "log" / f"{1:020d}.json").read_text())
     assert logged["metrics"] == {"total": 1.0} and logged["row_count"] == made.row_count == 1
+
+
+def test_names_of_files_are_worked_out_once_a_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    made = publish.publish(spark.sql("SELECT id, id % 2 AS part FROM range(40)"), path, ["part"])
+    write = next(iter(made.writes))
+    nodes = publish._file_nodes(publish._load(spark, path, made.struct, {write: [""]}), write)
+    plan = nodes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan and "url_decode" not in plan[plan.index("Aggregate") :]
+    assert {r.partition for r in nodes.collect()} == {"part=0", "part=1"}
+    assert sum(r.row_count for r in nodes.collect()) == 40
