@@ -10,12 +10,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import plain, portions, words_of
+from .common import park, plain, portions, words_of
 
-BITS, SAMPLE_ROWS, SAMPLE_BYTES = 16, 20_000, 256 << 20
+#: Rows one task learns from, and bytes of their features; more rows are learned by more tasks.
+BITS, GROUP_ROWS, GROUP_BYTES = 16, 20_000, 256 << 20
+#: Documents of the rarer class each of these tasks should meet.
+LEAST_RIVALS = 100
 
 #: Steps of the measured shares and sizes of a text. A text has one feature for each step
 #: that it reaches, so that the weights form a step function of the measure.
@@ -189,21 +192,116 @@ class BradleyTerry:
         return weights
 
 
+def _middle(low: float, high: float) -> float:
+    return float(np.quantile(np.array([low, high]), 0.5, method="midpoint"))
+
+
+def scaled(
+    weights: np.ndarray, threshold: float, better: float, worse: float, learner: BradleyTerry, cut: float
+) -> Model:
+    """The model of ``weights`` from its threshold and the median scores of both classes."""
+    used = np.flatnonzero(weights)
+    apart = better - worse
+    scale = 6.0 / apart if apart > 0 else 1.0
+    return Model(used.astype(np.int32), weights[used].astype(np.float32), threshold, scale, cut, learner.bits)
+
+
 def fitted(
     rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, learner: BradleyTerry, cut: float, level: float | None
 ) -> Model:
     """The ranking, and the score below which the share ``level`` of the learned rows lies
     (by default the share that is not preferred)."""
     weights = learner.fit(rows, labels)
-    used = np.flatnonzero(weights)
-    threshold, scale = 0.0, 0.0
-    if len(used):
-        scores = np.array([weights[x] @ v for x, v in rows])
-        below = float(np.mean(labels <= 0)) if level is None else level
-        threshold = float(np.quantile(scores, below, method="midpoint"))
-        apart = float(np.median(scores[labels > 0]) - np.median(scores[labels <= 0]))
-        scale = 6.0 / apart if apart > 0 else 1.0
-    return Model(used.astype(np.int32), weights[used].astype(np.float32), threshold, scale, cut, learner.bits)
+    if not weights.any():
+        return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0, 0.0, cut, learner.bits)
+    scores = np.array([weights[x] @ v for x, v in rows])
+    below = float(np.mean(labels <= 0)) if level is None else level
+    threshold = float(np.quantile(scores, below, method="midpoint"))
+    return scaled(
+        weights, threshold, float(np.median(scores[labels > 0])), float(np.median(scores[labels <= 0])), learner, cut
+    )
+
+
+def mean_weights(rows: DataFrame, learner: BradleyTerry, groups: int, copies: dict[bool, int]) -> np.ndarray | None:
+    """The mean of the weights learned by each of ``groups`` tasks from its share of all rows
+    (label, place, x, v); None where no task met both classes.
+
+    A row belongs to the group of its place; rows of a class with several ``copies`` also to the
+    groups after it. A group that repeated ids make larger than twice its bounds is learned in
+    parts.
+    """
+
+    def learn(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        labels: list[int] = []
+        group, size = None, 0
+
+        def models():
+            weights = learner.fit(held, np.array(labels))
+            used = np.flatnonzero(weights)
+            if len(used):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.append(used, -1), pa.int32()), pa.array(np.append(weights[used], 1.0))],
+                    names=["feature", "weight"],
+                )
+
+        for batch in batches:
+            for its, label, x, v in zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4)), strict=True):
+                if held and (its != group or len(held) >= 2 * GROUP_ROWS or size > 2 * GROUP_BYTES):
+                    yield from models()
+                    held, labels, size = [], [], 0
+                group = its
+                held.append((np.frombuffer(x, np.int32), np.frombuffer(v, np.float32)))
+                labels.append(label)
+                size += len(x) + len(v)
+        if held:
+            yield from models()
+
+    steps = F.when(F.col("label") > 0, F.lit(copies[True])).otherwise(F.lit(copies[False]))
+    member = F.transform(F.sequence(F.lit(0), steps - 1), lambda i: F.pmod(F.col("place") + i, F.lit(groups)).cast("int"))
+    dealt = (
+        rows.select(F.explode(member).alias("group"), "label", "place", "x", "v")
+        .repartitionById(groups, F.col("group"))
+        .sortWithinPartitions("group", "place", "x", "v")
+    )
+    # Sorted before they are added, so that the mean does not depend on the order of tasks.
+    total = F.aggregate(F.sort_array(F.collect_list("weight")), F.lit(0.0), lambda a, w: a + w)
+    found = park(dealt.mapInArrow(learn, "feature int, weight double")).groupBy("feature").agg(total.alias("weight"))
+    table = found.toArrow()  # one row a feature
+    feature, weight = (table.column(c).to_numpy() for c in ("feature", "weight"))
+    if not len(feature):
+        return None
+    weights = np.zeros(MEASURES + (1 << learner.bits))
+    weights[feature[feature >= 0]] = weight[feature >= 0]
+    return weights / weight[feature < 0][0]
+
+
+def values_at(scored: DataFrame, places: dict[str, Sequence[int]]) -> dict[str, list[float]]:
+    """Exact values at 0-based ``places`` of the sorted ``raw``, where the column of that name
+    counts the rows of a value.
+
+    Distinct values are sorted by ranges, whose totals say in which range a place lies; only
+    these ranges are sorted through.
+    """
+    spark, kinds = scored.sparkSession, list(places)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = park(scored.repartitionByRange(parts, "raw").withColumn("part", F.spark_partition_id()))
+    totals = ranged.groupBy("part").agg(*[F.sum(k).alias(k) for k in kinds]).orderBy("part").collect()
+    before = dict.fromkeys(kinds, 0)
+    wanted = []
+    for row in totals:
+        for kind in kinds:
+            wanted += [(kind, at, row.part, at - before[kind]) for at in places[kind] if 0 <= at - before[kind] < row[kind]]
+            before[kind] += row[kind]
+    order = Window.partitionBy("part").orderBy("raw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = ranged.where(F.col("part").isin(*{part for _, _, part, _ in wanted})).select(
+        "part", "raw", *[F.sum(k).over(order).alias(k) for k in kinds]
+    )
+    found = summed.agg(
+        *[F.min(F.when((F.col("part") == part) & (F.col(k) > inside), F.col("raw"))) for k, _, part, inside in wanted]
+    ).first()
+    known = {(k, at): value for (k, at, _, _), value in zip(wanted, found, strict=True)}
+    return {k: [known[k, at] for at in places[k]] for k in kinds}
 
 
 def train(
@@ -215,27 +313,31 @@ def train(
     learner: BradleyTerry = BradleyTerry(),
     cut: float = 0.7,
     level: float | None = None,
-    sample_rows: int = SAMPLE_ROWS,
-    sample_bytes: int = SAMPLE_BYTES,
+    sample_rows: int | None = None,
+    sample_bytes: int | None = None,
 ) -> Model:
-    """A ranking learned from a hash sample of at most ``sample_rows`` labelled documents and
-    ``sample_bytes`` of their features (whole documents, in hash order, until the bytes are full).
-
-    Features are taken on the executors; one task, whose input these bounds limit, learns from
-    the pairs, so it alone is repeated if its executor is lost. An id with several labels has the
-    highest; rows with a null id or label, and ids without a document, are not used; rows that
-    repeat an id are all used. Without rows of both classes there is no pair: every score is
-    0.5 then.
+    """A ranking learned from all labelled documents.
+
+    Features are taken on the executors and parked. Up to ``GROUP_ROWS`` rows are learned by one
+    task; of more, each task learns from its share by hash, meeting documents of both classes,
+    and the weights are averaged. The threshold and the scale come from the scores that all
+    learned rows have by these weights. A caller may bound the rows, or the bytes of the features
+    of whole documents in hash order, by ``sample_rows`` and ``sample_bytes``.
+
+    An id with several labels has the highest; rows with a null id or label, and ids without a
+    document, are not used; rows that repeat an id are all used. Without rows of both classes
+    there is no pair: every score is 0.5 then.
     """
     chosen = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("__id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("__label"))
         .withColumn("__order", F.xxhash64("__id"))
-        .orderBy("__order", "__id")
-        .limit(sample_rows)
     )
+    if sample_rows is not None:
+        chosen = chosen.orderBy("__order", "__id").limit(sample_rows)
     bits = learner.bits
+    none = Model(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0, 0.0, cut, bits)
 
     def extract(batches):
         for batch in portions(batches, 0):
@@ -250,32 +352,57 @@ def train(
                 names=["label", "place", "x", "v"],
             )
 
-    def learn(batches):
-        rows, known, held = [], [], 0
+    # Labels grow with the documents, so they are not broadcast; each task hashes its few of them.
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(
+        chosen.hint("shuffle_hash"), "__id"
+    )
+    rows = park(
+        texts.select("__text", "__label", "__order").mapInArrow(extract, "label int, place long, x binary, v binary")
+    )
+    size = F.length("x") + F.length("v")
+    if sample_bytes is not None:
+        rows = _first_bytes(rows, size, sample_bytes)
+    better = F.count_if(F.col("label") > 0)
+    n, n_better, n_bytes = rows.agg(F.count("*"), better, F.coalesce(F.sum(size), F.lit(0))).first()
+    if not 0 < n_better < n:
+        return none
+    groups = max(-(-n // GROUP_ROWS), -(-n_bytes // GROUP_BYTES))
+    copies = {
+        kind: min(groups, -(-LEAST_RIVALS * groups // count)) for kind, count in ((True, n_better), (False, n - n_better))
+    }
+    weights = mean_weights(rows, learner, groups, copies)
+    if weights is None:
+        return none
+    known = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def raw(batches):
+        weights = known.value
         for batch in batches:
-            for label, x, v in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True):
-                held += len(x) + len(v)
-                if held > sample_bytes and rows:
-                    continue
-                rows.append((np.frombuffer(x, np.int32), np.frombuffer(v, np.float32)))
-                known.append(label)
-        model = fitted(rows, np.array(known), learner, cut, level)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([model.used.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.threshold]), pa.array([model.scale])],
-            names=["used", "weights", "threshold", "scale"],
-        )
-
-    # The sample's ids are bounded by sample_rows, so they may be broadcast.
-    sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")
-    rows = sample.select("__text", "__label", "__order").mapInArrow(extract, "label int, place long, x binary, v binary")
-    one = rows.repartition(1).sortWithinPartitions("place", "x", "v")
-    found = one.mapInArrow(learn, "used binary, weights binary, threshold double, scale double").collect()
-    if not found:
-        return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0, 0.0, cut, bits)
-    return Model(
-        np.frombuffer(found[0].used, np.int32), np.frombuffer(found[0].weights, np.float32),
-        found[0].threshold, found[0].scale, cut, bits,
-    )
+            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            scores = [float(weights[np.frombuffer(x, np.int32)] @ np.frombuffer(v, np.float32)) for x, v in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["label", "raw"])
+
+    scored = (
+        rows.select("label", "x", "v").mapInArrow(raw, "label int, raw double")
+        .groupBy("raw")
+        .agg(F.count("*").alias("n"), better.alias("better"), F.count_if(F.col("label") <= 0).alias("worse"))
+    )
+    middles = {"n": (n - n_better) / n if level is None else level, "better": 0.5, "worse": 0.5}
+    places = {
+        kind: [int(np.floor((count - 1) * middles[kind])), int(np.ceil((count - 1) * middles[kind]))]
+        for kind, count in (("n", n), ("better", n_better), ("worse", n - n_better))
+    }
+    found = {kind: _middle(*pair) for kind, pair in values_at(scored, places).items()}
+    return scaled(weights, found["n"], found["better"], found["worse"], learner, cut)
+
+
+def _first_bytes(rows: DataFrame, size: Column, most: int) -> DataFrame:
+    """The rows in hash order while their features fill ``most`` bytes, the first in any case:
+    a bound its caller asked for, so one task may count it out."""
+    order = Window.orderBy("place", "x", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumns({"__held": F.sum(size).over(order), "__nth": F.row_number().over(order)}).where(
+        (F.col("__held") <= most) | (F.col("__nth") == 1)
+    ).drop("__held", "__nth")
 
 
 def probabilities(raw: np.ndarray, model: Model) -> np.ndarray:
