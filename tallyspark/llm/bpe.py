@@ -155,8 +155,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches):
         encoder, _ = codec(path, pattern)
         for batch in portions(batches, 1, remember=True):
-            ids = encoder.encode(plain(batch.column(1)).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
+            ids = encoder.encode_array(plain(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary")
@@ -183,7 +183,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
         names = [str(i) for i in range(len(table))]
         for batch in portions(batches, 1, remember=True):
             counts, written, back = [], [], []
-            for data in encoder.encode(plain(batch.column(1)).to_pylist()):
+            for data in encoder.encode_array(plain(batch.column(1))).to_pylist():
                 ids = np.frombuffer(data, "<u4").tolist()
                 counts.append(len(ids))
                 written.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())

@@ -93,7 +93,7 @@ def chained(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 #: What encoders remember in this worker process; given up when other work begins in it.
-CACHES: list[dict] = []
+CACHES: list = []
 _LIBRARY = ctypes.CDLL(None)
 
 

@@ -32,7 +32,7 @@ def pieces(
         kind = np.dtype(f"<u{encoder.width}")
         for batch in portions(batches, 1, remember=True):
             rows, out = [], []
-            for row, ids in enumerate(encoder.encode(plain(batch.column(1)).to_pylist())):
+            for row, ids in enumerate(encoder.encode_array(plain(batch.column(1))).to_pylist()):
                 tokens = np.frombuffer(ids + end, kind).astype("<u4")
                 for piece, (start, length) in enumerate(cuts(len(tokens), capacity)):
                     rows.append(row)

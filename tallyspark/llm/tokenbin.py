@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import park, plain, portions
@@ -125,15 +126,15 @@ def token_ids(
 
     def run(batches):
         encoder = library_encoder(path)
-        end = int(end_id).to_bytes(encoder.width, "little")
+        end = pa.scalar(int(end_id).to_bytes(encoder.width, "little"))
         before = 0
         for batch in portions(batches, 1, remember=True):
-            ids = [x + end for x in encoder.encode(plain(batch.column(1)).to_pylist())]
-            n = np.fromiter(map(len, ids), np.int64, len(ids)) // encoder.width
+            ids = pc.binary_join_element_wise(encoder.encode_array(plain(batch.column(1))), end, b"")
+            n = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // encoder.width
             start = before + np.cumsum(n) - n
             before += int(n.sum())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary()), batch.column(2), pa.array(start)],
+                [batch.column(0), ids, batch.column(2), pa.array(start)],
                 names=["id", "ids", "range", "start"],
             )
 
